@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import mixing, packing, sharding, warc
+from kinweave.llm import jaccard, mixing, packing, sharding, warc
 from kinweave.llm.common import Scratch, table
 
 SHARDS = 40
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.shard(table(spark, sf_dir, "documents"), n_shards=SHARDS)
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -33,7 +37,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_sharding": op4_sharding, "op6_warc": op6_warc, "op9_packing": op9_packing, "op10_mixing": op10_mixing}
+    return {"op1_jaccard": op1_jaccard, "op4_sharding": op4_sharding, "op6_warc": op6_warc, "op9_packing": op9_packing, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
