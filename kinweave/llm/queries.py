@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.llm import jaccard, mixing, packing, quality, sharding, warc
+from kinweave.llm import jaccard, mixing, neighbours, packing, quality, sharding, warc
 from kinweave.llm.common import Scratch, table
 
 SHARDS = 40
@@ -28,6 +28,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.records(warc.read(spark, keep.root)).drop("url")
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
@@ -42,7 +46,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_jaccard": op1_jaccard, "op4_sharding": op4_sharding, "op6_warc": op6_warc, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_mixing": op10_mixing}
+    return {"op1_jaccard": op1_jaccard, "op4_sharding": op4_sharding, "op6_warc": op6_warc, "op7_neighbours": op7_neighbours, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
