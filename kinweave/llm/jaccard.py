@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import Scratch
+from kinweave.llm.common import WORD, Scratch
 from kinweave.llm.links import Union, components
 from kinweave.llm.tokens import slices
 
@@ -326,35 +326,49 @@ def _joined(texts: DataFrame, n: int, rule: Rule) -> DataFrame:
     return texts.groupBy("class", "lo", "hi").applyInArrow(run, "kind int, a binary, b binary, n long")
 
 
-def join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links of every row."""
+def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Each row's doc_id, code, n_shingles and digest; and each set's class: digest, root, first (its class's first row), n_links."""
     spark = docs.sparkSession
     keep, rule = Scratch(spark, "jaccard"), Rule(num, den)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("code"), F.col(text_col).alias("text"))
     known = keep.put(_described(own, words), "described")
-    entries = known.where("digest is not null").agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    full = known.where("digest is not null")
+    entries = full.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     buckets = max(4, -(-entries // 2 // FLUSH))
-    lists = _lists(own.select("text"), words, rule, buckets)
-    classes = components(_met(lists), keep, "met")
+    met = components(_met(_lists(own.select("text"), words, rule, buckets)), keep, "met")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "code"))
+    sets = keep.put(full.groupBy("digest", "node").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles")), "sets")
     # one text of each candidate set, with the number of its rows
-    sets = known.where("digest is not null").groupBy("digest", "node").agg(F.min("code").alias("code"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"))
-    candidates = keep.put(sets.join(classes.withColumnRenamed("root", "class"), "node").select("digest", "code", "copies", "n_shingles", "class"), "candidates")
-    sizes = candidates.groupBy("class").agg(F.sum("n_shingles").alias("mass"))
-    large = sizes.where(F.col("mass") > BLOCK).withColumn("blocks", F.ceil(F.col("mass") / (BLOCK // 2)).cast("int"))
-    dealt = candidates.join(large, "class", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    wanted = dealt.select("code", "copies", "class", "blocks", "block").dropDuplicates(["code"])
-    texts = own.join(wanted, "code").groupBy("code").agg(F.first("text").alias("text"), F.first("copies").alias("copies"), F.first("class").alias("class"), F.first("blocks").alias("blocks"), F.first("block").alias("block"))
-    spread = texts.select("class", "block", "text", "copies", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("block"), j).alias("lo"), F.greatest(F.col("block"), j).alias("hi")))).alias("p")).select("class", "p.lo", "p.hi", "block", "text", "copies")
+    candidates = keep.put(sets.join(met.withColumnRenamed("root", "class"), "node").select("digest", "first.code", "copies", "n_shingles", "class"), "candidates")
+    sizes = candidates.groupBy("class").agg(F.sum("n_shingles").alias("mass"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    sizes = sizes.withColumn("blocks", F.when(F.col("mass") > BLOCK, F.ceil(F.col("mass") / (BLOCK // 2))).otherwise(F.lit(1)).cast("int"))
+    wanted = candidates.join(sizes.select("class", "blocks"), "class").select("code", "copies", "class", "blocks", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int").alias("block")).dropDuplicates(["code"])
+    texts = own.select("code", "text").join(wanted, "code").groupBy("code", "copies", "class", "blocks", "block").agg(F.first("text").alias("text"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("block"), j).alias("lo"), F.greatest(F.col("block"), j).alias("hi")))
+    spread = texts.select("class", "block", "text", "copies", F.explode(pairs).alias("p")).select("class", "p.lo", "p.hi", "block", "text", "copies")
     found = keep.put(_joined(spread, words, rule), "found")
-    # links of sets to links of numbers: a set's number is its smallest document's place
-    ids = known.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    linked = found.where("kind = 0").select(F.col("a"), F.col("b"))
-    numbered = linked.select(F.xxhash64("a").alias("x"), F.xxhash64("b").alias("y"))
-    roots = components(numbered, keep, "joined")
-    members = found.where("kind = 0").select(F.explode(F.array("a", "b")).alias("digest")).distinct().withColumn("node", F.xxhash64("digest")).join(roots, "node").select("digest", "root")
+    forest = found.where("kind = 0")
+    roots = components(forest.select(F.xxhash64("a").alias("x"), F.xxhash64("b").alias("y")), keep, "joined")
+    members = forest.select(F.explode(F.array("a", "b")).alias("digest")).distinct().withColumn("at", F.xxhash64("digest")).join(roots.withColumnRenamed("node", "at"), "at").select("digest", "root")
     counts = found.where("kind = 1").groupBy(F.col("a").alias("digest")).agg(F.sum("n").alias("others"))
-    named = ids.join(members, "digest", "left").join(counts, "digest", "left")
-    rooted = keep.put(named, "named")
-    least = rooted.where("root is not null").groupBy("root").agg(F.min("least").alias("class_least"))
-    per_set = rooted.join(least, "root", "left").select("digest", F.coalesce("class_least", "least").alias("component_id"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    named = sets.join(members, "digest", "left").join(counts, "digest", "left").withColumn("root", F.coalesce("root", F.xxhash64("digest")))
+    named = keep.put(named.select("digest", "root", "first", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "named")
+    heads = named.groupBy("root").agg(F.min("first").alias("first"))
+    return known, named.drop("first").join(heads, "root")
+
+
+def join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links of every row."""
+    known, classes = _classes(docs, words, num, den, id_col, text_col)
+    per_set = classes.select("digest", F.col("first.doc_id").alias("component_id"), "n_links")
     return known.join(per_set, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class, all columns as they were: the one with the smallest id. Rows without words all stay."""
+    _, classes = _classes(docs, words, num, den, id_col, text_col)
+    firsts = classes.select(F.col("first.doc_id").alias("__id"), F.col("first.code").alias("__code")).distinct()
+    coded = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("own"), F.xxhash64(F.col(text_col)).alias("code"))
+    wordless = ~F.coalesce(F.col(f"row.{text_col}").rlike(WORD), F.lit(False))
+    kept = coded.where(~wordless).join(firsts, F.col("own").eqNullSafe(F.col("__id")) & (F.col("code") == F.col("__code")), "left_semi")
+    return kept.groupBy("own", "code").agg(F.first("row").alias("row")).select("row.*").unionByName(coded.where(wordless).select("row.*"))

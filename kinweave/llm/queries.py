@@ -45,8 +45,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_jaccard": op1_jaccard, "op4_sharding": op4_sharding, "op6_warc": op6_warc, "op7_neighbours": op7_neighbours, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_mixing": op10_mixing}
+    return {"op1_jaccard": op1_jaccard, "op4_sharding": op4_sharding, "op6_warc": op6_warc, "op7_neighbours": op7_neighbours, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_mixing": op10_mixing, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
