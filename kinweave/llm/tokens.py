@@ -14,9 +14,12 @@ import zlib
 
 import numpy as np
 
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_000_000
+TOGETHER = 4_000
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
+#: Letters, then marks that no letter or space follows.
+_MARKED = re.compile(r"([^\W\d_]+)([.,;:!?]+)")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -32,29 +35,61 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        #: ids of " " + word, by word; and of parts of texts as they stand
+        self.spaced: dict[str, bytes] = {}
+        self.plain: dict[str, bytes] = {}
+        size = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            size[i] = len(token)  # one character stands for one byte
+        self.size = size
 
     @staticmethod
-    def words(text: str) -> list[str]:
-        """The text cut before each space that a non-space follows; joined, they are the text."""
-        first, *rest = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-        return [first, *[" " + x for x in rest]]
+    def cut(text: str) -> list[str]:
+        """The text without each space that a non-space follows, cut there."""
+        return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+
+    def _bytes(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(texts), 4096):
+            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False)]
+        return out
 
     def encode(self, texts: list[str | None], end: int | None = None) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers, then `end`. A null text is empty."""
-        cut = [[x] if "<|" in x else self.words(x) for x in (t or "" for t in texts)]
-        known = self.known
-        new = list({w for ws in cut for w in ws if w not in known})
-        if new:
-            if len(known) + len(new) > KEPT_WORDS:
-                known.clear()
-                new = list({w for ws in cut for w in ws})
-            for i in range(0, len(new), 4096):
-                part = new[i : i + 4096]
-                for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
+        cut = [None if "<|" in (t or "") else self.cut(t or "") for t in texts]
+        spaced, plain = self.spaced, self.plain
+        if len(spaced) + len(plain) > KEPT_WORDS:
+            spaced.clear()
+            plain.clear()
+        whole = iter(self._bytes([t for t, ws in zip(texts, cut) if ws is None]))
+        self._learn([w for w in set().union(*[ws[1:] for ws in cut if ws is not None]) if w not in spaced])
+        first = [w for w in {ws[0] for ws in cut if ws is not None} if w not in plain]
+        plain.update(zip(first, self._bytes(first)))
         tail = b"" if end is None else np.array([end], "<u4").tobytes()
-        return [b"".join([known[w] for w in ws]) + tail for ws in cut]
+        know = spaced.__getitem__
+        return [next(whole) + tail if ws is None else plain[ws[0]] + b"".join(map(know, ws[1:])) + tail for ws in cut]
+
+    def _learn(self, new: list[str]) -> None:
+        """Letters and the marks after them are pieces of their own, so a word in marks needs only its letters' ids. Unknown
+        words are joined and encoded together; the bytes that each id stands for tell where a word ends."""
+        spaced, plain = self.spaced, self.plain
+        marked = [m for m in map(_MARKED.fullmatch, new) if m]
+        letters = {m[1] for m in marked}
+        marks = [x for x in {m[2] for m in marked} if x not in plain]
+        plain.update(zip(marks, self._bytes(marks)))
+        ready = {m[0] for m in marked}
+        joined = [w for w in letters.union(new).difference(ready) if w not in spaced]
+        groups = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends = np.cumsum([len(w.encode("utf-8")) + 1 for w in group])
+            cuts = np.searchsorted(np.cumsum(self.size[ids]), ends) + 1
+            data, last = ids.tobytes(), 0
+            for w, cut in zip(group, (4 * cuts).tolist()):
+                spaced[w] = data[last:cut]
+                last = cut
+        for m in marked:
+            spaced[m[0]] = spaced[m[1]] + plain[m[2]]
 
 
 def encoder(path: str) -> Encoder:
