@@ -538,9 +538,10 @@ def dual_threshold_grid(spark, d):
 _GUARD = "(select t, null::double as sole from (select round(0.45 + 0.01 * i, 2) as t from range(36) r(i)) a union all select t, round(t + 0.01 * j, 2) from (select round(0.45 + 0.01 * i, 2) as t from range(36) r(i)) a, range(1, 60) q(j) where j < round((1 - t) * 100))"
 
 
-@query(sql(f"select t, sole, round(avg({f05('coalesce(tp, 0)', 'coalesce(n_pred, 0)')}), 6) as macro_f05 from (select t, sole, n.source1_entity_id, n_true, k.n_pred, k.tp from {_GUARD} g cross join n_true n left join (select t, source1_entity_id, count(*) as n_pred, count(x.source) as tp, max(match_probability) as top from (select * from best, (select distinct t from {_GUARD} z) h where match_probability >= t) b left join truth x using (source1_entity_id, candidate_entity_id) group by 1, 2) k on k.t = g.t and k.source1_entity_id = n.source1_entity_id and (g.sole is null or k.n_pred > 1 or k.top >= g.sole)) y group by 1, 2".replace("select t, sole, n.source1_entity_id", "select g.t, g.sole, n.source1_entity_id"), "best", "truth", "n_true"))
+@query(sql(f"select t, coalesce(sole, -1.0) as sole, round(avg({f05('coalesce(tp, 0)', 'coalesce(n_pred, 0)')}), 6) as macro_f05 from (select t, sole, n.source1_entity_id, n_true, k.n_pred, k.tp from {_GUARD} g cross join n_true n left join (select t, source1_entity_id, count(*) as n_pred, count(x.source) as tp, max(match_probability) as top from (select * from best, (select distinct t from {_GUARD} z) h where match_probability >= t) b left join truth x using (source1_entity_id, candidate_entity_id) group by 1, 2) k on k.t = g.t and k.source1_entity_id = n.source1_entity_id and (g.sole is null or k.n_pred > 1 or k.top >= g.sole)) y group by 1, 2".replace("select t, sole, n.source1_entity_id", "select g.t, g.sole, n.source1_entity_id"), "best", "truth", "n_true"))
 def guard_grid(spark, d):
-    return metrics.guard_grid(assigned(spark, d), truth(spark, d), ids(spark, d), 0.5)
+    """sole is -1 where there is no guard."""
+    return metrics.guard_grid(assigned(spark, d), truth(spark, d), ids(spark, d), 0.5).fillna(-1.0, ["sole"])
 
 
 _LABELLED = "(select match_probability as p, (x.source is not null)::int as label from scored s left join truth x using (source1_entity_id, candidate_entity_id))"
