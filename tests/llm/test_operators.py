@@ -175,7 +175,7 @@ def test_neighbours(spark):
 
 
 def test_quality(spark):
-    good = [(i, " ".join(f"word{i}x{k * 7 % 97}" for k in range(60)), "s") for i in range(200)]
+    good = [(2000 + i, " ".join(f"word{i}x{k * 7 % 97}" for k in range(60)), "s") for i in range(200)]
     junk = [(1000 + i, " ".join(f"###{i}q{k}%%%" for k in range(60)), "s") for i in range(200)]
     rows = good + junk + ROWS
     labels = spark.createDataFrame([(i, 1) for i, _, _ in good[:150]] + [(i, 0) for i, _, _ in junk[:150]] + [(None, 1), (5, None), (1, 0), (1, 1)], "doc_id long, quality int")
