@@ -13,7 +13,9 @@ sets miss each other only where both are sparse, and then both go on (at the las
 no pair is lost. A shared passage
 makes a common key only if a block holds nothing else, so frequent shingles need no list of their own and no counts.
 
-Nodes that meet in a list are joined to candidate classes (connected components, on the executors). Each class comes
+Nodes that meet in a list are joined to candidate classes (connected components, on the executors). A class of over BLOCK
+shingles, which shared passages may have chained together, is split once more: each set's rarest shingles, by counts over the
+class in an array of fixed size, give keys; two linked sets share one of them in any order of shingles. Each class comes
 together in one task, or in pairs of blocks where it is over BLOCK shingles, and is joined exactly there: every set's inverted
 lists are scanned and the overlaps counted, so no pairs leave the task, only links along a spanning forest and counts. What
 crosses the network is about 0.4 n keys of 7 bytes a document of n shingles and each candidate's text once.
@@ -38,15 +40,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.common import WORD, Scratch
+
+from kinweave.llm.common import Scratch, sieve, sift
 from kinweave.llm.links import Union, components
 from kinweave.llm.tokens import slices
 
 SUBSETS = 2
 SPARSE = 0.01
 LEVELS = 8
-FLUSH = 1_000_000
-BLOCK = 4_000_000
+FLUSH = 500_000
+BLOCK = 1_500_000
+COUNTERS = 1 << 22
 KEPT_WORDS = 400_000
 _WORDS: dict[bytes, int] = {}
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0xABC98388FB8FAC03))
@@ -194,8 +198,32 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, code long, n_shingles long, digest binary, node long")
 
 
-def _lists(docs: DataFrame, n: int, rule: Rule, buckets: int) -> DataFrame:
-    """Inverted-list entries, packed: bucket, keys (5 bytes each), at (index into nodes, 2 bytes each), nodes."""
+def _commonness(texts: DataFrame, n: int) -> np.ndarray:
+    """How often the shingles of each of COUNTERS hash classes occur in the texts, a fixed-size array (8 MB)."""
+    parts = 64
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(COUNTERS, np.int64)
+        for b in batches:
+            t = b.column(0).to_pylist()
+            for lo, hi in slices(t):
+                seen += np.bincount((np.concatenate([*shingle_sets(t[lo:hi], n), np.zeros(0, np.uint64)]) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        for i, x in enumerate(np.split(np.minimum(seen, 65_535).astype("<u2"), parts)):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["part", "counts"])
+
+    def total(table: pa.Table) -> pa.Table:
+        x = sum(np.frombuffer(c, "<u2").astype(np.int64) for c in table.column("counts").to_pylist())
+        return pa.table({"part": table.column("part")[:1], "counts": pa.array([np.minimum(x, 65_535).astype("<u2").tobytes()], pa.binary())})
+
+    rows = texts.mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(total, "part int, counts binary").collect()  # 64 rows
+    return np.concatenate([np.frombuffer(r["counts"], "<u2") for r in sorted(rows, key=lambda r: r["part"])]) if rows else np.zeros(COUNTERS, "<u2")
+
+
+def _lists(docs: DataFrame, n: int, rule: Rule, buckets: int, common=None) -> DataFrame:
+    """Inverted-list entries, packed: bucket, keys (5 bytes each), at (index into nodes, 2 bytes each), nodes.
+
+    common: a broadcast of _commonness. The keys are then each set's rarest shingles, as many as must hold one that any
+    linked set has among its own, within the class in the second column."""
 
     def packed(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
         nodes = np.array([x[0] for x in held], "<i8")
@@ -217,16 +245,21 @@ def _lists(docs: DataFrame, n: int, rule: Rule, buckets: int) -> DataFrame:
         held, count, seen = [], 0, set()
         for b in batches:
             texts = b.column(0).to_pylist()
+            classes = b.column(1).to_numpy().view(np.uint64) if common is not None else [None] * len(texts)
             for lo, hi in slices(texts):
-                for s in shingle_sets(texts[lo:hi], n):
+                for s, own in zip(shingle_sets(texts[lo:hi], n), classes[lo:hi]):
                     if not len(s):
                         continue
                     node = node_of(digest_of(s))
                     if node in seen:  # a copy in this task
                         continue
-                    if len(seen) < 1_000_000:
+                    if len(seen) < 200_000:
                         seen.add(node)
-                    keys = rule.keys(s)
+                    if own is None:
+                        keys = rule.keys(s)
+                    else:
+                        rarest = np.lexsort((s, common.value[(s % np.uint64(COUNTERS)).astype(np.int64)]))
+                        keys = mixed(s[rarest[: len(s) - -(-rule.num * len(s) // rule.den) + 1]] ^ own)
                     if count + len(keys) > FLUSH and held or len(held) == 65_535:
                         yield packed(held)
                         held, count = [], 0
@@ -334,16 +367,33 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     known = keep.put(_described(own, words), "described")
     full = known.where("digest is not null")
     entries = full.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    buckets = max(4, -(-entries // 2 // FLUSH))
+    buckets = max(4, -(-entries // 4 // FLUSH))
     met = components(_met(_lists(own.select("text"), words, rule, buckets)), keep, "met")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "code"))
     sets = keep.put(full.groupBy("digest", "node").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles")), "sets")
     # one text of each candidate set, with the number of its rows
-    candidates = keep.put(sets.join(met.withColumnRenamed("root", "class"), "node").select("digest", "first.code", "copies", "n_shingles", "class"), "candidates")
-    sizes = candidates.groupBy("class").agg(F.sum("n_shingles").alias("mass"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    candidates = keep.put(sets.join(met.withColumnRenamed("root", "class"), "node").select("digest", "node", "first.code", "copies", "n_shingles", "class"), "candidates")
+    mass = lambda c: c.groupBy("class").agg(F.sum("n_shingles").alias("mass"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    sizes = keep.put(mass(candidates), "sizes")
+    large = sizes.where(F.col("mass") > BLOCK).select("class")
+    if large.limit(1).count():
+        # a class that large may hang together by shared passages alone: split it by its sets' rarest shingles
+        apart = candidates.join(large, "class")
+        codes = keep.put(apart.select("code", "class").dropDuplicates(["code"]), "codes")
+        few = sift(own.select("code", "text"), "code", sieve(codes.select("code")), "near").where("near").join(codes, "code").groupBy("code", "class").agg(F.first("text").alias("text"))
+        few = keep.put(few.select("text", "class"), "few", "zstd")
+        common = spark.sparkContext.broadcast(_commonness(few.select("text"), words))  # COUNTERS small numbers
+        entries = apart.agg(F.sum("n_shingles")).first()[0]
+        split = components(_met(_lists(few, words, rule, max(4, entries // 4 // FLUSH), common)), keep, "split")
+        keep.drop("few")
+        finer = apart.drop("class").join(split.withColumnRenamed("root", "class"), "node")
+        candidates = keep.put(candidates.join(large, "class", "left_anti").unionByName(finer), "finer")
+        sizes = mass(candidates)
     sizes = sizes.withColumn("blocks", F.when(F.col("mass") > BLOCK, F.ceil(F.col("mass") / (BLOCK // 2))).otherwise(F.lit(1)).cast("int"))
     wanted = candidates.join(sizes.select("class", "blocks"), "class").select("code", "copies", "class", "blocks", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int").alias("block")).dropDuplicates(["code"])
-    texts = own.select("code", "text").join(wanted, "code").groupBy("code", "copies", "class", "blocks", "block").agg(F.first("text").alias("text"))
+    wanted = keep.put(wanted, "wanted")
+    near = sift(own.select("code", "text"), "code", sieve(wanted.select("code")), "near").where("near").drop("near")
+    texts = near.join(wanted, "code").groupBy("code", "copies", "class", "blocks", "block").agg(F.first("text").alias("text"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("block"), j).alias("lo"), F.greatest(F.col("block"), j).alias("hi")))
     spread = texts.select("class", "block", "text", "copies", F.explode(pairs).alias("p")).select("class", "p.lo", "p.hi", "block", "text", "copies")
     found = keep.put(_joined(spread, words, rule), "found")
@@ -366,9 +416,16 @@ def join(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, *, id_c
 
 def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class, all columns as they were: the one with the smallest id. Rows without words all stay."""
-    _, classes = _classes(docs, words, num, den, id_col, text_col)
-    firsts = classes.select(F.col("first.doc_id").alias("__id"), F.col("first.code").alias("__code")).distinct()
+    known, classes = _classes(docs, words, num, den, id_col, text_col)
+    keep = Scratch(docs.sparkSession, "one")
+    rows = known.where("digest is not null").select("doc_id", "code", "digest").join(classes.select("digest", "root", "first"), "digest")
+    many = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = keep.put(rows.join(many, "root").select("doc_id", "code", "first"), "shared")
+    firsts = shared.select(F.col("first.doc_id").alias("__id"), F.col("first.code").alias("__code")).distinct()
     coded = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("own"), F.xxhash64(F.col(text_col)).alias("code"))
-    wordless = ~F.coalesce(F.col(f"row.{text_col}").rlike(WORD), F.lit(False))
-    kept = coded.where(~wordless).join(firsts, F.col("own").eqNullSafe(F.col("__id")) & (F.col("code") == F.col("__code")), "left_semi")
-    return kept.groupBy("own", "code").agg(F.first("row").alias("row")).select("row.*").unionByName(coded.where(wordless).select("row.*"))
+    coded = sift(coded, "code", sieve(shared.select("code")), "near")
+    alone = coded.where("not near").select("row")  # most rows, which need no shuffle
+    near = coded.where("near")
+    kept = near.join(firsts, F.col("own").eqNullSafe(F.col("__id")) & (F.col("code") == F.col("__code")), "left_semi").groupBy("own", "code").agg(F.first("row").alias("row")).select("row")
+    other = near.join(shared.select(F.col("code").alias("__other")).distinct(), F.col("code") == F.col("__other"), "left_anti").select("row")
+    return alone.unionByName(kept).unionByName(other).select("row.*")
