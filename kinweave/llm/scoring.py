@@ -27,7 +27,7 @@ from kinweave.llm import workers
 from kinweave.llm.common import Scratch
 from kinweave.llm.tokens import slices
 
-CHUNK = 1_000_000
+CHUNK = 1_500_000
 BUCKET = 1_000_000
 BACKOFF = 0.4
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -65,7 +65,19 @@ def chunks(docs: DataFrame) -> DataFrame:
         if ids:
             yield row(ids, held)
 
-    return docs.mapInArrow(run, "n long, docs binary, none binary, sizes binary, vocabulary binary, words binary")
+    return docs.mapInArrow(workers.tidy(run), "n long, docs binary, none binary, sizes binary, vocabulary binary, words binary")
+
+
+def short(x: np.ndarray) -> bytes:
+    """Counts, most of them small: their number, a byte each, and those of 255 and above in full."""
+    return np.uint32(len(x)).tobytes() + np.minimum(x, 255).astype("u1").tobytes() + x[x >= 255].astype("<u8").tobytes()
+
+
+def full(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    out = np.frombuffer(data, "u1", n, 4).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<u8", -1, 4 + n) if len(data) > 4 + n else 0
+    return out
 
 
 def grams(vocabulary: bytes, words: bytes, sizes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,32 +106,32 @@ def requests(corpus: DataFrame, buckets: int) -> DataFrame:
         for b in batches:
             for chunk, v, w, s in zip(*(b.column(i).to_pylist() for i in range(4))):
                 keys, n, ends, _ = asked(*grams(v, w, s), buckets)
-                rows = [(chunk, i, keys[x:y].tobytes(), n[x:y].astype("<u4").tobytes()) for i, (x, y) in enumerate(zip(ends, ends[1:])) if y > x]
+                rows = [(chunk, i, keys[x:y].tobytes(), short(n[x:y])) for i, (x, y) in enumerate(zip(ends, ends[1:])) if y > x]
                 for r in range(0, len(rows), 64):
                     c = list(zip(*rows[r : r + 64]))
                     yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.binary()), pa.array(c[3], pa.binary())], ["chunk", "bucket", "keys", "counts"])
 
-    return corpus.select("chunk", "vocabulary", "words", "sizes").mapInArrow(run, "chunk long, bucket int, keys binary, counts binary")
+    return corpus.select("chunk", "vocabulary", "words", "sizes").mapInArrow(workers.tidy(run), "chunk long, bucket int, keys binary, counts binary")
 
 
 def answers(asks: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, "<u8") for x in table.column("keys").to_pylist()]
-        own = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
+        own = np.concatenate([full(x) for x in table.column("counts").to_pylist()])
         _, back = np.unique(np.concatenate(keys), return_inverse=True)
         back = back.reshape(-1)
-        total = np.bincount(back, own)[back].astype("<u8")
+        total = np.bincount(back, own)[back].astype(np.int64)
         ends = np.cumsum([0, *map(len, keys)])
-        out = [total[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+        out = [short(total[a:b]) for a, b in zip(ends, ends[1:])]
         return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "totals": pa.array(out, pa.binary())})
 
-    return asks.groupBy("bucket").applyInArrow(run, "chunk long, bucket int, totals binary")
+    return asks.groupBy("bucket").applyInArrow(workers.tidy_group(run), "chunk long, bucket int, totals binary")
 
 
 def score(docs: DataFrame, least: int = 2, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, score, mean_score of every row."""
     keep = Scratch(docs.sparkSession, "scoring")
-    corpus = keep.put(chunks(docs.select(F.col(id_col).cast("long"), F.col(text_col))).withColumn("chunk", F.monotonically_increasing_id()), "corpus")
+    corpus = keep.put(chunks(docs.select(F.col(id_col).cast("long"), F.col(text_col))).withColumn("chunk", F.monotonically_increasing_id()), "corpus", "zstd")
     n = corpus.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(4, n // BUCKET + 1)
     replies = answers(requests(corpus, buckets)).groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "totals"))).alias("replies"))
@@ -129,7 +141,7 @@ def score(docs: DataFrame, least: int = 2, *, id_col: str = "doc_id", text_col:
             for names, none, sizes, v, w, got in zip(*(b.column(i).to_pylist() for i in range(6))):
                 single, pairs, first = grams(v, w, sizes)
                 _, _, _, place = asked(single, pairs, first, buckets)
-                total = np.frombuffer(b"".join(x["totals"] for x in got or []), "<u8").astype(float)
+                total = np.concatenate([*(full(x["totals"]) for x in got or []), np.zeros(0, np.int64)]).astype(float)
                 m = len(single)
                 c1, c2 = total[place[:m]], np.zeros(m)
                 c2[~first] = total[place[m:]]
@@ -139,12 +151,12 @@ def score(docs: DataFrame, least: int = 2, *, id_col: str = "doc_id", text_col:
                 found = np.flatnonzero(~first & (c2 >= least))
                 s[found] = np.log10(c2[found] / c1[found - 1])
                 size = np.frombuffer(sizes, "<u4").astype(np.int64)
-                sums = np.bincount(np.repeat(np.arange(len(size)), size), s, len(size))
+                sums = np.bincount(np.repeat(np.arange(len(size)), size), s, len(size)).astype(float)
                 ids = pa.array(np.frombuffer(names, "<i8"), mask=np.frombuffer(none, "u1").astype(bool))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(sums), pa.array(sums / np.maximum(size, 1), mask=size == 0)], ["doc_id", "n_words", "score", "mean_score"])
 
     joined = corpus.join(replies, "chunk", "left").select("docs", "none", "sizes", "vocabulary", "words", "replies")
-    return joined.mapInArrow(run, "doc_id long, n_words long, score double, mean_score double")
+    return joined.mapInArrow(workers.tidy(run), "doc_id long, n_words long, score double, mean_score double")
 
 
 #: DuckDB SQL for round(score, 6) and round(mean_score, 6).
