@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
+from kinweave.llm import workers
 from kinweave.llm.common import Scratch, sieve, sift
 from kinweave.llm.links import Union, components
 from kinweave.llm.tokens import slices
@@ -51,8 +51,9 @@ LEVELS = 8
 FLUSH = 500_000
 BLOCK = 1_500_000
 COUNTERS = 1 << 22
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 _WORDS: dict[bytes, int] = {}
+workers.keeps("jaccard", _WORDS.clear)
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0xABC98388FB8FAC03))
 
 
@@ -67,6 +68,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     """Each text's sorted distinct shingle hashes."""
+    workers.serve("jaccard")
     cut = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
     known = _WORDS
     if len(known) > KEPT_WORDS:
@@ -195,7 +197,7 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
                     nodes.append(node_of(digests[-1]) if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(nodes, pa.int64())], ["doc_id", "code", "n_shingles", "digest", "node"])
 
-    return docs.mapInArrow(run, "doc_id long, code long, n_shingles long, digest binary, node long")
+    return docs.mapInArrow(workers.tidy(run), "doc_id long, code long, n_shingles long, digest binary, node long")
 
 
 def _commonness(texts: DataFrame, n: int) -> np.ndarray:
@@ -215,7 +217,7 @@ def _commonness(texts: DataFrame, n: int) -> np.ndarray:
         x = sum(np.frombuffer(c, "<u2").astype(np.int64) for c in table.column("counts").to_pylist())
         return pa.table({"part": table.column("part")[:1], "counts": pa.array([np.minimum(x, 65_535).astype("<u2").tobytes()], pa.binary())})
 
-    rows = texts.mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(total, "part int, counts binary").collect()  # 64 rows
+    rows = texts.mapInArrow(workers.tidy(count), "part int, counts binary").groupBy("part").applyInArrow(workers.tidy_group(total), "part int, counts binary").collect()  # 64 rows
     return np.concatenate([np.frombuffer(r["counts"], "<u2") for r in sorted(rows, key=lambda r: r["part"])]) if rows else np.zeros(COUNTERS, "<u2")
 
 
@@ -268,7 +270,7 @@ def _lists(docs: DataFrame, n: int, rule: Rule, buckets: int, common=None) -> Da
         if held and count:
             yield packed([x for x in held if len(x[1])])
 
-    return docs.mapInArrow(run, "bucket int, keys binary, at binary, nodes binary")
+    return docs.mapInArrow(workers.tidy(run), "bucket int, keys binary, at binary, nodes binary")
 
 
 def _met(lists: DataFrame) -> DataFrame:
@@ -294,7 +296,7 @@ def _met(lists: DataFrame) -> DataFrame:
         pairs = np.array([(r, x) for x in union.up if (r := union.find(x)) != x], "i8").reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return lists.groupBy("bucket").applyInArrow(run, "a long, b long")
+    return lists.groupBy("bucket").applyInArrow(workers.tidy_group(run), "a long, b long")
 
 
 def overlapping(sets: list[np.ndarray], rule: Rule, left: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
@@ -356,7 +358,7 @@ def _joined(texts: DataFrame, n: int, rule: Rule) -> DataFrame:
         kinds, a, b, w = zip(*out) if out else ((), (), (), ())
         return pa.table({"kind": pa.array(kinds, pa.int32()), "a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "n": pa.array(w, pa.int64())})
 
-    return texts.groupBy("class", "lo", "hi").applyInArrow(run, "kind int, a binary, b binary, n long")
+    return texts.groupBy("class", "lo", "hi").applyInArrow(workers.tidy_group(run), "kind int, a binary, b binary, n long")
 
 
 def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:

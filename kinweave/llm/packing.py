@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.llm import workers
 from kinweave.llm.common import Scratch
 from kinweave.llm.tokens import crc, default_tokenizer, encoder, slices
 
@@ -98,7 +99,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int, id_col:
                             col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, PIECES)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(workers.tidy(run), PIECES)
 
 
 def _packed(light: DataFrame, capacity: int, seed: int, parts: int) -> DataFrame:

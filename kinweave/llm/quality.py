@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.llm import workers
 from kinweave.llm.tokens import slices
 
 WINDOW = 8
@@ -66,6 +67,7 @@ def repeated(cut: list[list[bytes]], window: int = WINDOW) -> list[int]:
 
 
 def counts_of(texts: list[str | None]) -> list[tuple[int, ...]]:
+    workers.serve("quality")
     data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     cut = [d.split() for d in data]
     out = []
@@ -156,7 +158,7 @@ def _counted(docs: DataFrame) -> DataFrame:
             cols = zip(*rows) if rows else [[]] * len(COUNTS)
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols]], ["doc_id", *COUNTS])
 
-    return docs.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    return docs.mapInArrow(workers.tidy(run), "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS, spare: float = 0.001) -> Trees | None:
@@ -199,7 +201,7 @@ def judge(docs: DataFrame, labels: DataFrame | None, *, id_col: str = "doc_id",
             told = pa.array(score) if score is not None else pa.nulls(len(n), pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c) for c in n.T], told, pa.array(failed), pa.array(kept)], ["doc_id", *COUNTS, "score", "base_failed", "kept"])
 
-    return own.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", score double, base_failed boolean, kept boolean")
+    return own.mapInArrow(workers.tidy(run), "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", score double, base_failed boolean, kept boolean")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame | None, *, id_col: str = "doc_id", text_col: str = "text", most_labels: int = MOST_LABELS) -> DataFrame:
@@ -213,4 +215,4 @@ def keep_good(docs: DataFrame, labels: DataFrame | None, *, id_col: str = "doc_i
             n = np.array([r for lo, hi in slices(texts) for r in counts_of(texts[lo:hi])], np.int64).reshape(-1, len(COUNTS))
             yield b.filter(pa.array(verdicts(n, model)[1]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(workers.tidy(run), docs.schema)

@@ -14,13 +14,16 @@ import zlib
 
 import numpy as np
 
-KEPT_WORDS = 1_000_000
+from kinweave.llm import workers
+
+KEPT_WORDS = 500_000
 TOGETHER = 4_000
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
 #: Letters, then marks that no letter or space follows.
 _MARKED = re.compile(r"([^\W\d_]+)([.,;:!?]+)")
 _ENCODERS: dict[str, "Encoder"] = {}
+workers.keeps("tokens", _ENCODERS.clear)
 
 
 def default_tokenizer() -> str:
@@ -94,12 +97,13 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """One per worker and file."""
+    workers.serve("tokens")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
-def slices(texts: list[str | None], most: int = 4_000_000):
+def slices(texts: list[str | None], most: int = 2_000_000):
     """Ranges of texts with about `most` characters at most, one text at least, to bound what is held at once."""
     start = held = 0
     for i, t in enumerate(texts):
