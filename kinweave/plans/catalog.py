@@ -306,7 +306,8 @@ def gap_features(spark, d):
 @query()
 def feature_matrix(spark, d):
     s1, tg = sides(spark, d)
-    return features.feature_matrix(retrieval.retrieve(s1, tg, 3, 5000, 3, NAME_MAX_DF, "skeleton"), s1, tg)
+    s = pipelines.Settings(name_max_df=NAME_MAX_DF)
+    return features.feature_matrix(retrieval.retrieve(s1, tg, s.k, s.max_df, s.k_name, s.name_max_df, s.name_channel), s1, tg)
 
 
 # labels, samples, splits
@@ -614,9 +615,9 @@ def pairwise_inference(spark, d):
 @query()
 def assignment_workflow(spark, d):
     """Trained, tuned and applied: the target-centric system's lists."""
-    s = pipelines.Settings(k=3, k_name=3, name_max_df=NAME_MAX_DF)
+    s = pipelines.Settings(name_max_df=NAME_MAX_DF)
     r, t = fixtures.directory(spark, d), truth(spark, d)
-    tuned, found, _ = pipelines.train_assignment(r, t, s, rounds=4, ascii_input=True)
+    tuned, found, _ = pipelines.train_assignment(r, t, s, ascii_input=True)
 
     def score(df: DataFrame) -> DataFrame:
         both = models.predict(found["b"][0], models.predict(found["a"][0], df, "p_a"), "p_b")

@@ -33,3 +33,25 @@ def test_every_sql_has_a_query():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.skipif(not os.path.isdir(D), reason="the driver's tables are not here")
+def test_whole_workflows_have_the_default_candidates(spark, monkeypatch):
+    from kinweave.operators import retrieval
+    from kinweave.plans import catalog, pipelines
+
+    s1, tg = catalog.sides(spark, D)
+    pairs = lambda df: {(r["tgt"], r["s1"]) for r in df.select("tgt", "s1").collect()}
+    word, name = retrieval.channels(s1, tg, 5000, catalog.NAME_MAX_DF, "skeleton")
+    assert pairs(catalog.queries()["feature_matrix"](spark, D)) == pairs(retrieval.union_channels(word, name, 10, 10))
+
+    class Seen(Exception):
+        pass
+
+    def seen(records, truth_long, s, rounds=pipelines.train_assignment.__defaults__[0], **kw):
+        raise Seen(s.k, s.k_name, rounds)
+
+    monkeypatch.setattr(pipelines, "train_assignment", seen)
+    with pytest.raises(Seen) as e:
+        catalog.queries()["assignment_workflow"](spark, D)
+    assert e.value.args == (10, 10, 20)
