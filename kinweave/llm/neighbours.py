@@ -59,7 +59,8 @@ def _read(vectors: DataFrame) -> DataFrame:
                     x = np.asarray(v.values.to_numpy(zero_copy_only=False), "<f8")
                     if np.isfinite(x).all() and x.any():
                         vec = x.tobytes()
-                        key = hashlib.blake2b(vec, digest_size=16, key=str(label).encode()[:64]).digest()
+                        name = label.encode("utf-8", "surrogatepass")
+                        key = hashlib.blake2b(len(name).to_bytes(8, "little") + name + vec, digest_size=16).digest()
                 keys.append(key)
                 vecs.append(vec)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), b.column(1), pa.array(vecs, pa.binary())], ["vec_id", "key", "label", "vec"])

@@ -174,6 +174,13 @@ def test_neighbours(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>, label int")).count() == 0
 
 
+def test_neighbours_tell_long_labels_apart(spark):
+    long = "x" * 64
+    vec = [(1, [1.0, 2.0], long + "a"), (2, [1.0, 2.0], long + "b"), (3, [1.0, 2.01], long + "b"), (4, [1.0, 2.0], long)]
+    got = neighbours.near_duplicates(spark.createDataFrame(vec, "vec_id long, embedding array<double>, label string")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(1, 0, 1), (2, 1, 2), (3, 1, 2), (4, 0, 4)]
+
+
 def test_quality(spark):
     good = [(2000 + i, " ".join(f"word{i}x{k * 7 % 97}" for k in range(60)), "s") for i in range(200)]
     junk = [(1000 + i, " ".join(f"###{i}q{k}%%%" for k in range(60)), "s") for i in range(200)]
