@@ -113,9 +113,14 @@ def leaves(x: np.ndarray, margin: float, *seed: int) -> Iterator[np.ndarray]:
             yield own
 
 
-def _pairs(routed: DataFrame, threshold: float, margin: float) -> DataFrame:
+def _margin(d: int, threshold: float) -> float:
+    return MARGIN / 2 * float(np.sqrt(2 * (1 - threshold) / d))
+
+
+def _pairs(routed: DataFrame, threshold: float) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         x = _unit(table.column("vec").to_pylist())
+        margin = _margin(x.shape[1], threshold)
         node, copies, tree = table.column("node").to_numpy(), table.column("copies").to_numpy(), table.column("tree")[0].as_py()
         found = []
         for own in leaves(x, margin, tree):
@@ -149,7 +154,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, trees: int = TR
         for r in nodes.select("dim", "vec", "node").orderBy(F.xxhash64("node"), "node").limit(SAMPLE).collect():  # at most SAMPLE rows
             sample.setdefault(r["dim"], []).append(bytes(r["vec"]))
         planes = {d: upper_levels(v, depth, trees, 0, d) for d, v in sample.items()}
-    margin_of = lambda d: MARGIN / 2 * float(np.sqrt(2 * (1 - threshold) / d))
 
     def routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -159,19 +163,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, trees: int = TR
                 x = _unit(vecs.take(pa.array(own)).to_pylist())
                 for t in range(trees):
                     levels = planes[d][t] if d in planes else []
-                    at, leaf = route(x, t, levels, margin_of(d))
+                    at, leaf = route(x, t, levels, _margin(d, threshold))
                     taken = b.take(pa.array(own[at]))
                     yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.full(len(at), t, np.int32)), pa.array(leaf)], [*b.schema.names, "tree", "leaf"])
 
     routed = nodes.select("label", "dim", "node", "copies", "vec").mapInArrow(routes, "label string, dim int, node long, copies long, vec binary, tree int, leaf long")
-    dims = sorted(r[0] for r in nodes.select("dim").distinct().limit(1000).collect())
-    links = None
-    for d in dims:
-        part = _pairs(routed.where(F.col("dim") == d), threshold, margin_of(d))
-        links = part if links is None else links.unionByName(part)
-    if links is None:
+    if not largest:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    links = keep.put(links.distinct(), "links")
+    links = keep.put(_pairs(routed, threshold).distinct(), "links")
     ends = links.select(F.col("a").alias("node"), F.col("copies_b").alias("n")).unionByName(links.select(F.col("b").alias("node"), F.col("copies_a").alias("n")))
     counts = ends.groupBy("node").agg(F.sum("n").alias("others"))
     roots = components(links.select("a", "b"), keep)

@@ -181,6 +181,13 @@ def test_neighbours_tell_long_labels_apart(spark):
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(1, 0, 1), (2, 1, 2), (3, 1, 2), (4, 0, 4)]
 
 
+def test_neighbours_of_many_lengths(spark):
+    dim = (F.col("id") / 2).cast("int") + 1
+    vec = spark.range(2200).select(F.col("id").alias("vec_id"), F.transform(F.sequence(F.lit(1), dim), lambda i: i + F.col("id") % 2 * 0.001).alias("embedding"), F.lit(1).alias("label"))
+    got = neighbours.near_duplicates(vec, trees=1).collect()
+    assert len(got) == 2200 and all(r["n_links"] == 1 and r["component_id"] == r["vec_id"] // 2 * 2 for r in got)
+
+
 def test_quality(spark):
     good = [(2000 + i, " ".join(f"word{i}x{k * 7 % 97}" for k in range(60)), "s") for i in range(200)]
     junk = [(1000 + i, " ".join(f"###{i}q{k}%%%" for k in range(60)), "s") for i in range(200)]
