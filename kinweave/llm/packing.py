@@ -14,6 +14,7 @@ rows are pieces of their own. An empty table gives no rows. Other columns are ig
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,6 @@ from kinweave.llm.common import Scratch
 from kinweave.llm.tokens import crc, default_tokenizer, encoder, slices
 
 PART = 50_000
-ROUNDS = 3
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -127,10 +127,11 @@ def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, en
     for length, n in light.groupBy("length").count().collect():  # at most `capacity` rows
         histogram[length] = n
     whole = lower_bound(histogram, capacity)
-    number = lambda r: (F.lit(r).cast("long") * F.lit(1 << 56) + F.col("part").cast("long") * F.lit(1 << 32) + F.col("bin")).alias("sequence_id")
+    # a partition has about PART rows, so its bins are far fewer than 1 << 20; rounds have 18 bits
+    number = lambda r: (F.lit(r).cast("long") * F.lit(1 << 44) + F.col("part").cast("long") * F.lit(1 << 20) + F.col("bin")).alias("sequence_id")
     settled: list[DataFrame] = []
     pool, n_pool, used = light, int(histogram.sum()), 0
-    for r in range(ROUNDS + 1):
+    for r in itertools.count():
         if not n_pool:
             break
         parts = max(1, -(-n_pool // PART))
@@ -145,7 +146,7 @@ def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, en
         else:
             used = now.where(F.col("offset") == 0).count()
         loose = (F.col("fill") < capacity) & ((F.col("bins") > F.col("bound")) | (F.col("fill") * 2 <= capacity))
-        if used <= whole or r == ROUNDS:
+        if used <= whole:
             settled.append(now.select("row", number(r), "offset"))
             break
         settled.append(now.where(~loose).select("row", number(r), "offset"))

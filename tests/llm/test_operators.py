@@ -103,6 +103,18 @@ def test_exchange_lowers_bins(spark):
     assert len({r["sequence_id"] for r in got}) <= 1.1 * -(-total // 32)
 
 
+def test_exchange_goes_on_while_it_saves(spark, monkeypatch):
+    rounds, whole = [], packing._packed
+    monkeypatch.setattr(packing, "PART", 8)
+    monkeypatch.setattr(packing, "_packed", lambda light, capacity, seed, parts: rounds.append(seed) or whole(light, capacity, seed, parts))
+    got = packing.pack(spark.createDataFrame([(i, "a " * (i * i % 23)) for i in range(4000)], "doc_id long, text string"), capacity=32).collect()
+    assert max(rounds) > 3 and len(got) == 4000 and len({(r["sequence_id"], r["offset"]) for r in got}) == 4000
+    by_bin = Counter()
+    for r in got:
+        by_bin[r["sequence_id"]] += r["length"]
+    assert max(by_bin.values()) <= 32
+
+
 def brute(rows, n, num, den):
     sets = [{tuple(w[j : j + n]) for j in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set() for w in (words((t or "").translate({c: c + 32 for c in range(65, 91)})) for _, t, _ in rows)]
     up = list(range(len(rows)))
