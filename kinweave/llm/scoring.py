@@ -1,13 +1,18 @@
 """Language-model scores by stupid backoff (Brants et al., 2007), counted over the whole corpus and joined back.
 
-S(w | v) = c(v w) / c(v) where the pair v w occurs at least `least` times, else BACKOFF x c(w) / N; a document's first word has
-c(w) / N. A document's score is the sum of log10 S over its words.
+S(w | u v) = c(u v w) / c(u v) where u v w occurs at least `least` times, else BACKOFF x S(w | v), down to c(w) / N. A word
+at the start of a document has only the context that stands before it. A document's score is the sum of log10 S over its words.
 
-The corpus is written as chunks of about CHUNK words (local word numbers and their hashes). Each chunk asks for the count of
-each of its distinct n-grams once, so a hot n-gram is one row a chunk; requests go to buckets by the n-gram's hash, packed as
-binary arrays. A bucket is the part of the count table with its hashes: it sums up the chunks' own counts and answers each
-chunk in the order asked. The answers are joined to the chunks, whose n-grams are exploded again, and summed per document.
-N-grams are told apart by 64-bit hashes.
+Relations, with n-grams by 64-bit hashes and columns packed in arrays, a row for many n-grams:
+  corpus  chunk, documents, words     about CHUNK words a row
+  grams   chunk, bucket, gram, n      each chunk's exploded n-grams of all orders, grouped, so a hot n-gram is one entry a chunk
+  counts  bucket, gram, n             one count table for all orders, partitioned by hash of the n-gram; what occurs once is left out
+  joined  chunk, bucket, n            grams joined to counts, in the order of grams
+Grams and counts have the same partitioning, so the n-grams cross the network once: a bucket's task sums up the count table's part,
+writes it, and joins it to the bucket's grams. The counts found go back to their chunks, where they are joined to the words and
+summed per document. A gram entry takes about 5 bytes (sorted, differences), a count mostly one.
+
+Above some 10^11 words a chunk has few n-grams in each bucket, and rows' own cost grows beside theirs.
 
 Nulls: a null or wordless text has 0 words, score 0 and no mean. A null id stays null. Repeated rows count as often as they
 stand and are scored each. An empty table gives no rows. Other columns are ignored.
@@ -38,6 +43,41 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def planes(x: np.ndarray) -> bytes:
+    """32-bit numbers, all low bytes first: most are small, so the last planes compress away."""
+    return x.astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, "u1").reshape(4, -1).T).view("<u4").ravel()
+
+
+def narrow(sorted_: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers: the width of the differences, and these."""
+    steps = np.diff(sorted_, prepend=np.uint64(0)).astype("<u8")
+    width = max(1, -(-int(steps.max()).bit_length() // 8)) if len(steps) else 1
+    return bytes([width]) + np.ascontiguousarray(steps.view("u1").reshape(-1, 8)[:, :width]).tobytes()
+
+
+def wide(data: bytes) -> np.ndarray:
+    width = data[0]
+    out = np.zeros(((len(data) - 1) // width, 8), "u1")
+    out[:, :width] = np.frombuffer(data, "u1", -1, 1).reshape(-1, width)
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+
+
+def short(x: np.ndarray) -> bytes:
+    """Counts, most of them small: their number, a byte each, and those of 255 and above in full."""
+    return np.uint32(len(x)).tobytes() + np.minimum(x, 255).astype("u1").tobytes() + x[x >= 255].astype("<u8").tobytes()
+
+
+def full(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    out = np.frombuffer(data, "u1", n, 4).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<u8", -1, 4 + n) if len(data) > 4 + n else 0
+    return out
+
+
 def chunks(docs: DataFrame) -> DataFrame:
     """n words, docs (ids), none (null ids), sizes, vocabulary (hashes), words (numbers into it) of each chunk."""
 
@@ -45,8 +85,8 @@ def chunks(docs: DataFrame) -> DataFrame:
         names: dict[bytes, int] = {}
         flat = np.fromiter((names.setdefault(w, len(names)) for ws in held for w in ws), "<u4")
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), "<u8", len(names))
-        parts = (np.array([x or 0 for x in ids], "<i8"), np.array([x is None for x in ids], "u1"), np.array([len(x) for x in held], "<u4"), hashes, flat)
-        return pa.RecordBatch.from_arrays([pa.array([len(flat)], pa.int64()), *[pa.array([p.tobytes()], pa.binary()) for p in parts]], ["n", "docs", "none", "sizes", "vocabulary", "words"])
+        parts = (np.array([x or 0 for x in ids], "<i8").tobytes(), np.array([x is None for x in ids], "u1").tobytes(), planes(np.array([len(x) for x in held])), hashes.tobytes(), planes(flat))
+        return pa.RecordBatch.from_arrays([pa.array([len(flat)], pa.int64()), *[pa.array([p], pa.binary()) for p in parts]], ["n", "docs", "none", "sizes", "vocabulary", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         workers.serve("scoring")
@@ -68,95 +108,105 @@ def chunks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(workers.tidy(run), "n long, docs binary, none binary, sizes binary, vocabulary binary, words binary")
 
 
-def short(x: np.ndarray) -> bytes:
-    """Counts, most of them small: their number, a byte each, and those of 255 and above in full."""
-    return np.uint32(len(x)).tobytes() + np.minimum(x, 255).astype("u1").tobytes() + x[x >= 255].astype("<u8").tobytes()
-
-
-def full(data: bytes) -> np.ndarray:
-    n = int(np.frombuffer(data, "<u4", 1)[0])
-    out = np.frombuffer(data, "u1", n, 4).astype(np.int64)
-    out[out == 255] = np.frombuffer(data, "<u8", -1, 4 + n) if len(data) > 4 + n else 0
-    return out
-
-
-def grams(vocabulary: bytes, words: bytes, sizes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the words, keys of the pairs that end in each word, and whether a word is its document's first."""
-    h = np.frombuffer(vocabulary, "<u8")[np.frombuffer(words, "<u4")]
-    first = np.zeros(len(h) + 1, bool)
-    first[np.r_[0, np.cumsum(np.frombuffer(sizes, "<u4"))].astype(np.int64)] = True
-    first = first[: len(h)]
-    pairs = _mixed(np.r_[np.uint64(0), h[:-1]][: len(h)] * _K1 + h * _K2) if len(h) else h
-    return _mixed(h), pairs, first
-
-
-def asked(single: np.ndarray, pairs: np.ndarray, first: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys in order of bucket, their counts, the ends of the buckets, and the place of each of [words, pairs]."""
-    keys, back, n = np.unique(np.r_[single, pairs[~first]], return_inverse=True, return_counts=True)
-    bucket = keys % np.uint64(buckets)
-    order = np.argsort(bucket, kind="stable")
-    place = np.empty(len(keys), np.int64)
-    place[order] = np.arange(len(keys))
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-    return keys[order], n[order], ends, place[back.reshape(-1)]
-
-
-def requests(corpus: DataFrame, buckets: int) -> DataFrame:
+class Exploded:
+    """A chunk's n-grams: for each order, the keys of those that end at each word, and where there are such."""
+
+    def __init__(self, vocabulary: bytes, words: bytes, sizes: bytes, order: int, buckets: int):
+        h = np.frombuffer(vocabulary, "<u8")[from_planes(words)]
+        self.sizes = from_planes(sizes).astype(np.int64)
+        place = np.arange(len(h)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.there = [place >= k for k in range(order)]
+        # a bucket and the rest of the hash, as many bits as there are
+        bits = min(48, 64 - (buckets - 1).bit_length())
+        keys = []
+        for k in range(order):
+            keys.append(_mixed(h if k == 0 else np.r_[np.uint64(0), keys[-1][:-1]][: len(h)] * _K1 + h * _K2))
+        own = np.concatenate([key[there] for key, there in zip(keys, self.there)])
+        b = np.uint64(buckets)
+        own = own % b << np.uint64(bits) | own // b & np.uint64((1 << bits) - 1)
+        self.keys, back, self.n = np.unique(own, return_inverse=True, return_counts=True)
+        self.back = back.reshape(-1)
+        self.ends = np.searchsorted(self.keys, np.arange(buckets, dtype=np.uint64) << np.uint64(bits))
+        self.ends = np.r_[self.ends, len(self.keys)]
+        self.rest = np.uint64((1 << bits) - 1)
+
+    def rows(self) -> Iterator[tuple[int, bytes, bytes]]:
+        """bucket, grams, n."""
+        for i, (x, y) in enumerate(zip(self.ends, self.ends[1:])):
+            if y > x:
+                yield i, narrow(self.keys[x:y] & self.rest), short(self.n[x:y])
+
+    def counts(self, found: np.ndarray) -> list[np.ndarray]:
+        """By order: the corpus count of the n-gram that ends at each word, 0 where there is none."""
+        out, at = [], 0
+        for there in self.there:
+            c = np.zeros(len(there))
+            m = int(there.sum())
+            c[there] = found[self.back[at : at + m]]
+            out.append(c)
+            at += m
+        return out
+
+
+def grams(corpus: DataFrame, order: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, v, w, s in zip(*(b.column(i).to_pylist() for i in range(4))):
-                keys, n, ends, _ = asked(*grams(v, w, s), buckets)
-                rows = [(chunk, i, keys[x:y].tobytes(), short(n[x:y])) for i, (x, y) in enumerate(zip(ends, ends[1:])) if y > x]
+                rows = list(Exploded(v, w, s, order, buckets).rows())
                 for r in range(0, len(rows), 64):
                     c = list(zip(*rows[r : r + 64]))
-                    yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), pa.array(c[2], pa.binary()), pa.array(c[3], pa.binary())], ["chunk", "bucket", "keys", "counts"])
-
-    return corpus.select("chunk", "vocabulary", "words", "sizes").mapInArrow(workers.tidy(run), "chunk long, bucket int, keys binary, counts binary")
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(c[0]), pa.int64()), pa.array(c[0], pa.int32()), pa.array(c[1], pa.binary()), pa.array(c[2], pa.binary())], ["chunk", "bucket", "grams", "n"])
 
+    return corpus.select("chunk", "vocabulary", "words", "sizes").mapInArrow(workers.tidy(run), "chunk long, bucket int, grams binary, n binary")
 
-def answers(asks: DataFrame) -> DataFrame:
-    def run(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, "<u8") for x in table.column("keys").to_pylist()]
-        own = np.concatenate([full(x) for x in table.column("counts").to_pylist()])
-        _, back = np.unique(np.concatenate(keys), return_inverse=True)
-        back = back.reshape(-1)
-        total = np.bincount(back, own)[back].astype(np.int64)
-        ends = np.cumsum([0, *map(len, keys)])
-        out = [short(total[a:b]) for a, b in zip(ends, ends[1:])]
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "totals": pa.array(out, pa.binary())})
 
-    return asks.groupBy("bucket").applyInArrow(workers.tidy_group(run), "chunk long, bucket int, totals binary")
+def counted(exploded: DataFrame) -> DataFrame:
+    """The count table's rows (chunk null: grams, n) and the joined ones (chunk, n), by bucket."""
 
-
-def score(docs: DataFrame, least: int = 2, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, score, mean_score of every row."""
+    def run(table: pa.Table) -> pa.Table:
+        keys = [wide(x) for x in table.column("grams").to_pylist()]
+        own = np.concatenate([full(x) for x in table.column("n").to_pylist()])
+        names, back = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(back.reshape(-1), own).astype(np.int64)
+        ends, found = np.cumsum([0, *map(len, keys)]), total[back.reshape(-1)]
+        often = total > 1
+        n = len(keys)
+        return pa.table({
+            "chunk": pa.array([None, *table.column("chunk").to_pylist()], pa.int64()),
+            "bucket": pa.array([table.column("bucket")[0].as_py()] * (n + 1), pa.int32()),
+            "grams": pa.array([narrow(names[often]), *[None] * n], pa.binary()),
+            "n": pa.array([short(total[often]), *[short(found[a:b]) for a, b in zip(ends, ends[1:])]], pa.binary()),
+        })
+
+    return exploded.groupBy("bucket").applyInArrow(workers.tidy_group(run), "chunk long, bucket int, grams binary, n binary")
+
+
+def score(docs: DataFrame, least: int = 2, order: int = 2, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_words, score, mean_score of every row. order: words of the longest n-grams."""
     keep = Scratch(docs.sparkSession, "scoring")
     corpus = keep.put(chunks(docs.select(F.col(id_col).cast("long"), F.col(text_col))).withColumn("chunk", F.monotonically_increasing_id()), "corpus", "zstd")
     n = corpus.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    buckets = max(4, n // BUCKET + 1)
-    replies = answers(requests(corpus, buckets)).groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "totals"))).alias("replies"))
+    buckets = max(4, n * order // (2 * BUCKET) + 1)
+    counts = keep.put(counted(grams(corpus, order, buckets)), "counts")
+    joined = counts.where("chunk is not null").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for names, none, sizes, v, w, got in zip(*(b.column(i).to_pylist() for i in range(6))):
-                single, pairs, first = grams(v, w, sizes)
-                _, _, _, place = asked(single, pairs, first, buckets)
-                total = np.concatenate([*(full(x["totals"]) for x in got or []), np.zeros(0, np.int64)]).astype(float)
-                m = len(single)
-                c1, c2 = total[place[:m]], np.zeros(m)
-                c2[~first] = total[place[m:]]
-                s = np.log10(c1 / n) if m else c1
-                backed = ~first & (c2 < least)
-                s[backed] += np.log10(BACKOFF)
-                found = np.flatnonzero(~first & (c2 >= least))
-                s[found] = np.log10(c2[found] / c1[found - 1])
-                size = np.frombuffer(sizes, "<u4").astype(np.int64)
+                own = Exploded(v, w, sizes, order, buckets)
+                c = own.counts(np.concatenate([*(full(x["n"]) for x in got or []), np.zeros(0, np.int64)]).astype(float))
+                s = np.log10(c[0] / n) if n else c[0]
+                for k in range(1, order):
+                    seen = np.flatnonzero(own.there[k] & (c[k] >= least))
+                    s[own.there[k]] += np.log10(BACKOFF)
+                    s[seen] = np.log10(c[k][seen] / c[k - 1][seen - 1])
+                size = own.sizes
                 sums = np.bincount(np.repeat(np.arange(len(size)), size), s, len(size)).astype(float)
                 ids = pa.array(np.frombuffer(names, "<i8"), mask=np.frombuffer(none, "u1").astype(bool))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(sums), pa.array(sums / np.maximum(size, 1), mask=size == 0)], ["doc_id", "n_words", "score", "mean_score"])
 
-    joined = corpus.join(replies, "chunk", "left").select("docs", "none", "sizes", "vocabulary", "words", "replies")
-    return joined.mapInArrow(workers.tidy(run), "doc_id long, n_words long, score double, mean_score double")
+    both = corpus.join(joined, "chunk", "left").select("docs", "none", "sizes", "vocabulary", "words", "found")
+    return both.mapInArrow(workers.tidy(run), "doc_id long, n_words long, score double, mean_score double")
 
 
 #: DuckDB SQL for round(score, 6) and round(mean_score, 6).

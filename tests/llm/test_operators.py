@@ -251,23 +251,24 @@ def test_mixing(spark):
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mixed(docs(spark, [])).count() == 0
 
 
-def test_scoring(spark):
-    rows = ROWS + [(20, "a b a b c", "s")]
-    got = scoring.score(docs(spark, rows)).collect()
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scoring(spark, order, monkeypatch):
+    monkeypatch.setattr(scoring, "CHUNK", 700)
+    rows = ROWS + [(20, "a b a b c", "s"), (21, "a b a c a b a", "s")] + [(30 + i, "p q r " * (i * 40), "s") for i in range(4)]
+    got = scoring.score(docs(spark, rows), order=order).collect()
     texts = [words(t) for _, t, _ in rows]
-    c1, c2 = Counter(w for t in texts for w in t), Counter(p for t in texts for p in zip(t, t[1:]))
-    n = sum(c1.values())
+    c = Counter(tuple(t[i : i + k]) for t in texts for k in range(1, order + 1) for i in range(len(t) - k + 1))
+    n = sum(map(len, texts))
 
-    def s(t):
-        out = 0.0
-        for i, w in enumerate(t):
-            pair = (t[i - 1], w) if i else None
-            out += np.log10(c2[pair] / c1[pair[0]]) if pair and c2[pair] >= 2 else np.log10(c1[w] / n) + (np.log10(0.4) if pair else 0)
-        return out
+    def log(gram):
+        if len(gram) == 1:
+            return np.log10(c[gram] / n)
+        return np.log10(c[gram] / c[gram[:-1]]) if c[gram] >= 2 else np.log10(0.4) + log(gram[1:])
 
-    assert Counter((r["doc_id"], r["n_words"], round(r["score"], 6)) for r in got) == Counter((i, len(t), round(s(t), 6)) for (i, _, _), t in zip(rows, texts))
+    want = [sum(log(tuple(t[max(0, i + 1 - order) : i + 1])) for i in range(len(t))) for t in texts]
+    assert Counter((r["doc_id"], r["n_words"], round(r["score"], 5)) for r in got) == Counter((i, len(t), round(x, 5) + 0.0) for (i, _, _), t, x in zip(rows, texts, want))
     assert all((r["mean_score"] is None) == (r["n_words"] == 0) for r in got)
-    assert scoring.score(docs(spark, [])).count() == 0
+    assert scoring.score(docs(spark, []), order=order).count() == 0
 
 
 def test_counts(spark):
