@@ -4,11 +4,16 @@ Vectors with equal labels and equal values are one node from the start. Each of
 random directions at medians; nodes within a margin of the median go to both sides. A pair at the threshold lies
 sqrt(2 (1 - threshold) / d) apart along a random direction in the mean, and the margin is MARGIN / 2 times that to each side, so
 a pair is parted only where it lies over MARGIN times its mean distance apart and just astride. Nodes within a leaf are
-compared exactly, in double precision; a set of vectors that no direction divides is compared in whole, in blocks. A pair is
-lost only if every tree parts it.
+compared exactly, in double precision. A pair is lost only if every tree parts it.
 
-The upper levels, which deal the nodes to tasks, take their medians from a sample of at most SAMPLE nodes (those with the
-smallest hashes); every node is routed through them. A tree's lower levels are split inside its tasks, with all their rows.
+A label of at most GROUP nodes is one task's work, all trees of it. A larger one is split tree by tree, in rounds: each round
+fits up to LEVELS levels of each group over GROUP nodes on about SAMPLE of its own nodes (those with the smallest hashes, by
+task), and routes all its nodes, until no group is over GROUP. The trees' lower levels are split inside the tasks with all their rows.
+A group that no direction divides is compared in whole, in pairs of blocks of GROUP nodes.
+
+A task returns a spanning forest of the links that it found, never pairs. The forests are joined to components; each component's
+nodes are then compared once more, in blocks, to count every node's links, so links of two nodes that no tree brought together
+but that others connect count too.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and those with a null label, link with nothing.
 Vectors of unequal length don't link. Repeated rows are rows of their own, linked as copies. A null id stays null; a class's
@@ -18,6 +23,7 @@ id is its smallest id that isn't null. An empty table gives no rows. Other colum
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +37,12 @@ from kinweave.llm.links import components
 TREES = 10
 LEAF = 256
 GROUP = 4096
-SAMPLE = 16_384
+SAMPLE = 1024
+LEVELS = 4
 MARGIN = 1.5
+#: A direction divides a group if neither side keeps more than this share.
+DIVIDED = 0.85
+KEY = ["label", "dim", "tree", "leaf"]
 
 
 def direction(d: int, *seed: int) -> np.ndarray:
@@ -68,31 +78,6 @@ def _read(vectors: DataFrame) -> DataFrame:
     return vectors.mapInArrow(run, "vec_id long, key binary, label string, vec binary")
 
 
-def upper_levels(sample: list[bytes], depth: int, trees: int, margin: float, d: int) -> list[list[np.ndarray]]:
-    """The medians of each tree's upper levels, level by level."""
-    out = []
-    x = _unit(sample)
-    for t in range(trees):
-        parts, levels = [np.arange(len(x))], []
-        for level in range(depth):
-            p = x @ direction(d, t, level)
-            medians = np.array([np.median(p[i]) if len(i) else 0.0 for i in parts])
-            parts = [i[side] for i, m in zip(parts, medians) for side in (p[i] <= m, p[i] > m)]
-            levels.append(medians)
-        out.append(levels)
-    return out
-
-
-def route(x: np.ndarray, tree: int, levels: list[np.ndarray], margin: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row and leaf of each place that the rows take in a tree."""
-    rows, at = np.arange(len(x)), np.zeros(len(x), np.int64)
-    for level, medians in enumerate(levels):
-        p = (x @ direction(x.shape[1], tree, level))[rows] - medians[at]
-        left, right = p <= margin, p >= -margin
-        rows, at = np.r_[rows[left], rows[right]], np.r_[2 * at[left], 2 * at[right] + 1]
-    return rows, at
-
-
 def leaves(x: np.ndarray, margin: float, *seed: int) -> Iterator[np.ndarray]:
     """Index sets, with overlaps, of at most LEAF rows each, or of more where no direction divides them."""
     todo, count = [np.arange(len(x))], 0
@@ -106,7 +91,7 @@ def leaves(x: np.ndarray, margin: float, *seed: int) -> Iterator[np.ndarray]:
             p = x[own] @ direction(x.shape[1], 7, count, *seed)
             p -= np.median(p)
             left, right = own[p <= margin], own[p >= -margin]
-            if max(len(left), len(right)) <= 0.85 * len(own):
+            if max(len(left), len(right)) <= DIVIDED * len(own):
                 todo += [left, right]
                 break
         else:
@@ -117,27 +102,171 @@ def _margin(d: int, threshold: float) -> float:
     return MARGIN / 2 * float(np.sqrt(2 * (1 - threshold) / d))
 
 
-def _pairs(routed: DataFrame, threshold: float) -> DataFrame:
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest row that each of n rows reaches by the links a, b."""
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while not np.array_equal(up := root[root], root):
+            root = up
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return root
+
+
+def plant(x: np.ndarray, n: int, margin: float, *seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """LEVELS levels for a group of n rows of which x is a sample: by place in the tree (root 1, children 2 i and 2 i + 1) the
+    attempt whose direction divides it and its median. Attempt -1: small enough, or too few in the sample; -2: none divides it."""
+    attempts, medians = np.full(1 << LEVELS, -1, np.int64), np.zeros(1 << LEVELS)
+    parts = {1: np.arange(len(x))}
+    for i in range(1, 1 << LEVELS):
+        own = parts.get(i)
+        if own is None or len(own) < 32 or n * len(own) <= GROUP * len(x):
+            continue
+        attempts[i] = -2
+        for attempt in range(3):
+            p = x[own] @ direction(x.shape[1], *seed, i, attempt)
+            m = np.median(p)
+            left, right = own[p <= m + margin], own[p >= m - margin]
+            if max(len(left), len(right)) <= DIVIDED * len(own):
+                attempts[i], medians[i] = attempt, m
+                parts[2 * i], parts[2 * i + 1] = left, right
+                break
+    if n > GROUP and attempts[1] == -1:
+        attempts[1] = -2
+    return attempts, medians
+
+
+def route(x: np.ndarray, attempts: np.ndarray, medians: np.ndarray, margin: float, *seed: int) -> Iterator[tuple[np.ndarray, int, bool]]:
+    """Rows, place and whether it is to be compared in whole, for each place where the tree ends."""
+    parts = {1: np.arange(len(x))}
+    for i in range(1, 2 << LEVELS):
+        if (own := parts.pop(i, None)) is None or not len(own):
+            continue
+        attempt = int(attempts[i]) if i < len(attempts) else -1
+        if attempt < 0:
+            yield own, i, attempt == -2
+            continue
+        p = x[own] @ direction(x.shape[1], *seed, i, attempt) - medians[i]
+        parts[2 * i], parts[2 * i + 1] = own[p <= margin], own[p >= -margin]
+
+
+def _margin(d: int, threshold: float) -> float:
+    return MARGIN / 2 * float(np.sqrt(2 * (1 - threshold) / d))
+
+
+def _planted(sample: DataFrame, threshold: float) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         x = _unit(table.column("vec").to_pylist())
-        margin = _margin(x.shape[1], threshold)
-        node, copies, tree = table.column("node").to_numpy(), table.column("copies").to_numpy(), table.column("tree")[0].as_py()
-        found = []
-        for own in leaves(x, margin, tree):
-            for lo in range(0, len(own), 1024):
-                part = own[lo : lo + 1024]
-                near = x[part] @ x[own].T >= threshold
-                i, j = np.nonzero(near)
-                a, b = part[i], own[j]
-                ok = node[a] < node[b]
-                found.append(a[ok] * len(x) + b[ok])
-            if sum(map(len, found)) > 4_000_000:
-                found = [np.unique(np.concatenate(found))]
-        both = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        a, b = both // len(x), both % len(x)
-        return pa.table({"a": node[a], "b": node[b], "copies_a": copies[a], "copies_b": copies[b]})
-
-    return routed.groupBy("label", "dim", "tree", "leaf").applyInArrow(run, "a long, b long, copies_a long, copies_b long")
+        tree, leaf, n = (table.column(c)[0].as_py() for c in ("tree", "leaf", "n"))
+        attempts, medians = plant(x, n, _margin(x.shape[1], threshold), tree, leaf)
+        return table.select(KEY).slice(0, 1).append_column("attempts", pa.array([attempts.tobytes()], pa.binary())).append_column("medians", pa.array([medians.tobytes()], pa.binary()))
+
+    return sample.groupBy(*KEY).applyInArrow(run, "label string, dim int, tree int, leaf long, attempts binary, medians binary")
+
+
+def _routed(rows: DataFrame, threshold: float) -> DataFrame:
+    """rows with the attempts and medians of their group (null: to be compared in whole) to rows with the next leaf and whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            groups: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*(b.column(c).to_pylist() for c in KEY))):
+                groups.setdefault(key, []).append(i)
+            for (_, dim, tree, leaf), own in groups.items():
+                part = b.take(pa.array(own))
+                if not part.column("attempts")[0].is_valid:
+                    ends = [(np.arange(len(own)), 1, True)]
+                else:
+                    attempts, medians = (np.frombuffer(part.column(c)[0].as_py(), t) for c, t in (("attempts", np.int64), ("medians", np.float64)))
+                    ends = route(_unit(part.column("vec").to_pylist()), attempts, medians, _margin(dim, threshold), tree, leaf)
+                for at, place, whole in ends:
+                    out = part.take(pa.array(at))
+                    n = len(at)
+                    yield pa.RecordBatch.from_arrays([*(out.column(c) for c in ("label", "dim", "tree")), pa.array(np.full(n, leaf << LEVELS + 1 | place)), out.column("node"), out.column("vec"), pa.array(np.full(n, whole))], [*KEY, "node", "vec", "whole"])
+
+    return rows.select(*KEY, "node", "vec", "attempts", "medians").mapInArrow(run, "label string, dim int, tree int, leaf long, node long, vec binary, whole boolean")
+
+
+def _split(nodes: DataFrame, threshold: float, trees: int, keep: Scratch) -> DataFrame:
+    """Groups to compare: label, dim, tree (null: all of them), leaf, node, vec, n (rows of the group), whole."""
+    sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
+    rows = nodes.select("label", "dim", "node", "vec").join(sizes, ["label", "dim"])
+    done = [rows.where(F.col("n") <= GROUP).select("label", "dim", F.lit(None).cast("int").alias("tree"), F.lit(1).cast("long").alias("leaf"), "node", "vec", "n", F.lit(False).alias("whole"))]
+    large = sizes.where(F.col("n") > GROUP)
+    if not large.limit(1).count():
+        return done[0]
+    todo = rows.where(F.col("n") > GROUP).select("label", "dim", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(1).cast("long").alias("leaf"), "node", "vec", "n")
+    for r in itertools.count():
+        sample = todo.where(F.pmod(F.xxhash64("node", "tree", "leaf"), F.lit(1 << 30)) * F.col("n") < F.lit(SAMPLE << 30))
+        planted = keep.put(_planted(sample, threshold), f"planted{r}")
+        next_ = keep.put(_routed(todo.join(planted, KEY, "left"), threshold), f"routed{r}")
+        sizes = next_.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+        next_ = next_.join(sizes, KEY)
+        open_ = (F.col("n") > GROUP) & ~F.col("whole")
+        done.append(next_.where(~open_).select(*KEY, "node", "vec", "n", "whole"))
+        todo = next_.where(open_).drop("whole")
+        if not todo.limit(1).count():
+            break
+    out = done[0]
+    for x in done[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def _blocks(rows: DataFrame, whole) -> DataFrame:
+    """Rows with lo, hi and block: groups of over GROUP rows that are compared in whole come as pairs of blocks."""
+    many = F.when(whole, F.ceil(F.col("n") / GROUP)).otherwise(F.lit(1)).cast("int")
+    dealt = rows.withColumn("blocks", many).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("lo"), F.greatest("block", j).alias("hi")))
+    return dealt.withColumn("pair", F.explode(pairs)).select("*", "pair.lo", "pair.hi").drop("pair", "blocks", "n")
+
+
+def _near(x: np.ndarray, threshold: float, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of left and right that are near, in parts."""
+    for lo in range(0, len(left), 512):
+        i, j = np.nonzero(x[left[lo : lo + 512]] @ x[right].T >= threshold)
+        yield left[lo + i], right[j]
+
+
+def _forests(groups: DataFrame, threshold: float, trees: int) -> DataFrame:
+    """a, b: a spanning forest of the links that each task finds."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, node, block = _unit(table.column("vec").to_pylist()), table.column("node").to_numpy(), table.column("block").to_numpy()
+        tree, lo, hi, whole = (table.column(c)[0].as_py() for c in ("tree", "lo", "hi", "whole"))
+        root = np.arange(len(x))
+        if whole:
+            parts = iter([(np.flatnonzero(block == lo), np.flatnonzero(block == hi))])
+        else:
+            parts = ((own, own) for t in (range(trees) if tree is None else [tree]) for own in leaves(x, _margin(x.shape[1], threshold), t))
+        for left, right in parts:
+            for a, b in _near(x, threshold, left, right):
+                root = forest(len(x), np.r_[np.arange(len(x)), a], np.r_[root, b])
+        other = np.flatnonzero(root != np.arange(len(x)))
+        return pa.table({"a": node[root[other]], "b": node[other]})
+
+    return groups.groupBy(*KEY, "lo", "hi").applyInArrow(run, "a long, b long")
+
+
+def _counts(groups: DataFrame, threshold: float) -> DataFrame:
+    """node, n: how many rows of other nodes each node links with, in each pair of blocks of its component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, node, block, copies = _unit(table.column("vec").to_pylist()), table.column("node").to_numpy(), table.column("block").to_numpy(), table.column("copies").to_numpy()
+        lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        n = np.zeros(len(x), np.int64)
+        for a, b in _near(x, threshold, left, right):
+            other = a != b
+            n += np.bincount(a[other], copies[b[other]], len(x)).astype(np.int64)
+            if lo != hi:
+                n += np.bincount(b[other], copies[a[other]], len(x)).astype(np.int64)
+        return pa.table({"node": node, "n": n}).filter(pa.array(n > 0))
+
+    return groups.groupBy("root", "lo", "hi").applyInArrow(run, "node long, n long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, trees: int = TREES, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -146,34 +275,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, trees: int = TR
     rows = keep.put(_read(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).alias("vec"))), "rows")
     nodes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vec").alias("vec"))
     nodes = keep.put(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", (F.octet_length("vec") / 8).cast("int")), "nodes")
-    largest = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    depth = max(0, min(int(np.ceil(np.log2(max(1, largest) / GROUP))), int(np.log2(SAMPLE / 64))))
-    planes: dict[int, list] = {}
-    if depth:
-        sample: dict[int, list[bytes]] = {}
-        for r in nodes.select("dim", "vec", "node").orderBy(F.xxhash64("node"), "node").limit(SAMPLE).collect():  # at most SAMPLE rows
-            sample.setdefault(r["dim"], []).append(bytes(r["vec"]))
-        planes = {d: upper_levels(v, depth, trees, 0, d) for d, v in sample.items()}
-
-    def routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            dims, vecs = b.column(1).to_numpy(), b.column(4)
-            for d in np.unique(dims).tolist():
-                own = np.flatnonzero(dims == d)
-                x = _unit(vecs.take(pa.array(own)).to_pylist())
-                for t in range(trees):
-                    levels = planes[d][t] if d in planes else []
-                    at, leaf = route(x, t, levels, _margin(d, threshold))
-                    taken = b.take(pa.array(own[at]))
-                    yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.full(len(at), t, np.int32)), pa.array(leaf)], [*b.schema.names, "tree", "leaf"])
-
-    routed = nodes.select("label", "dim", "node", "copies", "vec").mapInArrow(routes, "label string, dim int, node long, copies long, vec binary, tree int, leaf long")
-    if not largest:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    links = keep.put(_pairs(routed, threshold).distinct(), "links")
-    ends = links.select(F.col("a").alias("node"), F.col("copies_b").alias("n")).unionByName(links.select(F.col("b").alias("node"), F.col("copies_a").alias("n")))
-    counts = ends.groupBy("node").agg(F.sum("n").alias("others"))
-    roots = components(links.select("a", "b"), keep)
+    links = keep.put(_forests(_blocks(_split(nodes, threshold, trees, keep), F.col("whole")), threshold, trees), "links")
+    roots = keep.put(components(links, keep), "roots")
+    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    members = nodes.select("node", "copies", "vec").join(roots, "node").join(sizes, "root")
+    counts = _counts(_blocks(members, F.lit(True)), threshold).groupBy("node").agg(F.sum("n").alias("others"))
     named = nodes.select("key", "node", "least", "copies").join(counts, "node", "left").join(roots, "node", "left")
     named = keep.put(named.withColumn("root", F.coalesce("root", "node")), "named")
     least = named.groupBy("root").agg(F.min("least").alias("component"))

@@ -186,6 +186,31 @@ def test_neighbours(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>, label int")).count() == 0
 
 
+def test_neighbours_of_large_labels(spark):
+    """A label over GROUP with planted pairs, one that no direction divides, and one component of several blocks, against all pairs."""
+    rng = np.random.default_rng(20)
+
+    def unit(n, d):
+        v = rng.standard_normal((n, d))
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    base = unit(4000, 24)
+    side = unit(2000, 24)
+    side -= (side * base[:2000]).sum(1, keepdims=True) * base[:2000]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cos = rng.uniform(0.931, 0.95, (2000, 1))
+    spread = np.r_[base, cos * base[:2000] + np.sqrt(1 - cos**2) * side]
+    tight = np.r_[np.ones((1, 6)), np.ones((5000, 6)) + 0.001 * rng.standard_normal((5000, 6))]
+    vec = [(i, v.tolist(), "spread") for i, v in enumerate(spread)] + [(10_000 + i, v.tolist(), "tight") for i, v in enumerate(tight)]
+    got = {r["vec_id"]: r for r in neighbours.near_duplicates(spark.createDataFrame(vec, "vec_id long, embedding array<double>, label string").repartition(4)).collect()}
+    near = spread @ spread.T >= 0.93
+    np.fill_diagonal(near, False)
+    found = sum(got[i]["n_links"] for i in range(len(spread)))
+    assert all(got[i]["n_links"] <= n for i, n in enumerate(near.sum(1).tolist())) and found >= 0.98 * near.sum()
+    assert sum(got[2 * 2000 + i]["component_id"] == got[i]["component_id"] for i in range(2000)) >= 1960
+    assert all(got[10_000 + i]["n_links"] == 5000 and got[10_000 + i]["component_id"] == 10_000 for i in range(5001))
+
+
 def test_neighbours_tell_long_labels_apart(spark):
     long = "x" * 64
     vec = [(1, [1.0, 2.0], long + "a"), (2, [1.0, 2.0], long + "b"), (3, [1.0, 2.01], long + "b"), (4, [1.0, 2.0], long)]
