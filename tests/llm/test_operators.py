@@ -47,6 +47,30 @@ def test_sharding(spark, rows):
         assert all(r["s"] <= 200 or r["s"] > 10_000 for r in few)
 
 
+def test_shards_are_even_and_whole(spark):
+    rng = np.random.default_rng(23)
+    rows = [(i, "x" * int(rng.zipf(1.5) % 3000), "s") for i in range(4000)] + [(9000 + i, "hot text " * 30, "s") for i in range(700)] + [(20_000, "y" * 150_000, "s"), (20_001, "z" * 100_001, "s")]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, source string"), n_shards=5).collect()
+    load, where = Counter(), {}
+    text = {i: t for i, t, _ in rows}
+    for r in got:
+        load[r["shard"]] += r["size"]
+        where.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+    assert len(got) == len(rows) and set(load) == set(range(5)) and all(len(x) == 1 for x in where.values())
+    whole = Counter()
+    for t in text.values():
+        whole[t] += len(t) + 16
+    left, total = 5, sum(whole.values())
+    for x in sorted(whole.values(), reverse=True):
+        if x * left < total:
+            break
+        left, total = left - 1, total - x
+    others = sorted(load.values())[:left]
+    assert left >= 3 and max(others) <= 1.01 * min(others)
+    few = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, source string"), capacity=100_500).groupBy("shard").agg(F.sum("size").alias("s")).collect()
+    assert all(r["s"] <= 100_500 or r["s"] in whole.values() for r in few)
+
+
 def test_gapless_in_chunks(spark):
     df = spark.range(100).withColumn("k", F.col("id") % 3)
     got = gapless(df, ["k"], [F.col("id")], "slot", F.xxhash64("id"), 7).groupBy("k").agg(F.array_sort(F.collect_list("slot")).alias("s")).collect()

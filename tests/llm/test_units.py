@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -90,12 +91,51 @@ def test_room_tree_takes_the_tightest_bin():
             tree.add(*rooms[-1])
 
 
+def one_by_one(sizes, capacity):
+    """Best-fit-decreasing, item after item: the rooms that are left."""
+    rooms = []
+    for x in sorted(sizes, reverse=True):
+        fit = min((r for r in rooms if r >= x), default=None)
+        if fit is None:
+            rooms.append(capacity - x)
+        else:
+            rooms[rooms.index(fit)] -= x
+    return sorted(rooms)
+
+
+def loads(runs):
+    out, ranks = Counter(), {}
+    for r in runs:
+        for i in range(r.shards):
+            out[r.shard + i] += r.each * r.size
+        ranks.setdefault(r.size, []).append((r.first, r.each * r.shards))
+    for own in ranks.values():  # ranks are gapless
+        own.sort()
+        assert [x for x, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))]
+    return out
+
+
+def test_runs_equal_best_fit_one_by_one():
+    rng = np.random.default_rng(21)
+    for _ in range(300):
+        capacity = int(rng.integers(10, 120))
+        items = Counter(rng.integers(1, capacity + 1, rng.integers(0, 80)).tolist())
+        runs = sharding.best_fit_decreasing(sorted(items.items(), reverse=True), capacity)
+        assert Counter(capacity - x for x in one_by_one(items.elements(), capacity)) == Counter(loads(runs).values())
+        for size, n in items.items():
+            assert sum(r.each * r.shards for r in runs if r.size == size) == n
+
+
 def test_even_and_fewest():
-    placed = dict(sharding.even([(100, "big")] + [(5, f"s{i}") for i in range(60)], 4))
-    sums = [sum({"big": 100}.get(k, 5) for k, v in placed.items() if v == b) for b in range(4)]
-    assert sums == [100, 100, 100, 100]
-    assert len(set(dict(sharding.fewest([(6, "a"), (5, "b"), (4, "c"), (5, "d")], 10)).values())) == 2
-    assert sharding.even([], 3) == []
+    assert sorted(loads(sharding.even([(100, 1), (5, 60)], 4)).values()) == [100, 100, 100, 100]
+    assert sorted(loads(sharding.even([(100, 3), (5, 20)], 4)).values()) == [100, 100, 100, 100]
+    assert len(loads(sharding.fewest([(6, 1), (5, 2), (4, 1)], 10))) == 2
+    assert sorted(loads(sharding.fewest([(99, 12_000), (500, 2)], 234)).values()) == [198] * 6000 + [500] * 2
+    assert sharding.even([], 3) == [] and sharding.fewest([], 3) == []
+    rng = np.random.default_rng(22)
+    sizes = Counter((16 + rng.zipf(1.6, 30_000) % 20_000).tolist())
+    found = loads(sharding.even(list(sizes.items()), 40))
+    assert len(found) == 40 and max(found.values()) <= 1.001 * min(found.values())
 
 
 def test_union_and_leaves():
