@@ -93,14 +93,14 @@ SIEVE = 1 << 22
 
 
 def sieve(codes: DataFrame) -> DataFrame:
-    """A bitmap of the codes (the first column, longs) as at most SIEVE / 64 rows, small enough to broadcast whatever the input."""
-    at = codes.select(F.pmod(F.col(codes.columns[0]), F.lit(SIEVE)).alias("b"))
+    """A bitmap of the codes (the first column) as at most SIEVE / 64 rows, small enough to broadcast whatever the input."""
+    at = codes.select(F.pmod(F.xxhash64(codes.columns[0]), F.lit(SIEVE)).alias("b"))
     return at.select((F.col("b") / 64).cast("int").alias("__word"), F.expr("shiftleft(1L, cast(b % 64 as int))").alias("bit")).groupBy("__word").agg(F.bit_or("bit").alias("__bits"))
 
 
 def sift(df: DataFrame, code: str, bitmap: DataFrame, name: str) -> DataFrame:
     """df with a boolean column: false only where the code isn't among the bitmap's. Spares the others a shuffle."""
-    b = F.pmod(F.col(code), F.lit(SIEVE))
+    b = F.pmod(F.xxhash64(code), F.lit(SIEVE))
     marked = df.withColumn("__at", (b / 64).cast("int")).join(F.broadcast(bitmap), F.col("__at") == F.col("__word"), "left")
-    hit = F.shiftright(F.coalesce(F.col("__bits"), F.lit(0).cast("long")), 0).bitwiseAND(F.expr(f"shiftleft(1L, cast(pmod({code}, {SIEVE}) % 64 as int))")) != 0
+    hit = F.shiftright(F.coalesce(F.col("__bits"), F.lit(0).cast("long")), 0).bitwiseAND(F.expr(f"shiftleft(1L, cast(pmod(xxhash64({code}), {SIEVE}) % 64 as int))")) != 0
     return marked.select(*df.columns, hit.alias(name))

@@ -3,24 +3,24 @@
 A document is the set of its distinct n-word shingles (fewer words: the whole sequence is one). Two documents link when
 their sets' similarity is at least num / den. Equal sets are one node from the start, so copies cost one row each.
 
-Candidates. A light set (few fixed-size subsets) is found by its subsets: with sizes p and q an overlap of
-c = ceil(num (p + q) / (num + den)) is needed, so the two sets share a subset of size c, and each emits a key for each such
-subset. A set is light when those subsets are no more than SUBSETS x its size, the lists that it would scan otherwise;
-LIGHT is the largest size for which that holds. Two heavy sets meet in inverted lists of blocks: sets of a size class differ
-in at most H elements; hashed to H + 1 + e blocks, at least 1 + e of their blocks are equal. A block's content is one
-key, empty ones none. A set with more than e empty blocks (SPARSE of all) is hashed once more with another salt, and so on: two
-sets miss each other only where both are sparse, and then both go on (at the last level their empty blocks give keys too), so
-no pair is lost. A shared passage
-makes a common key only if a block holds nothing else, so frequent shingles need no list of their own and no counts.
-
-Nodes that meet in a list are joined to candidate classes (connected components, on the executors). A class of over BLOCK
-shingles, which shared passages may have chained together, is split once more: each set's rarest shingles, by counts over the
-class in an array of fixed size, give keys; two linked sets share one of them in any order of shingles. Each class comes
-together in one task, or in pairs of blocks where it is over BLOCK shingles, and is joined exactly there: every set's inverted
-lists are scanned and the overlaps counted, so no pairs leave the task, only links along a spanning forest and counts. What
-crosses the network is about 0.4 n keys of 7 bytes a document of n shingles and each candidate's text once.
-
-Shingles are 64-bit hashes of their words; sets are told apart by 128-bit digests of all their hashes.
+Inverted lists. Every set's shingles go to the hash bucket of their list once, packed. Only the entries of lists that hold two
+sets or more come back to their sets, with the list's length; the others can't be shared.
+
+Heavy sets scan lists: of a set of size p, c = ceil(num p / den) shingles must be shared with any partner, so of its p - c + 1
+rarest ones (by list length) at least one is, and these lists are scanned. A set with as many shingles of its own as that has
+no partner and goes. Passages that many documents share have long lists and come last, so they are scanned only by sets that
+hold little else.
+
+Light sets are found by fixed-size subsets: with sizes p and q an overlap of c = ceil(num (p + q) / (num + den)) is needed,
+so both emit a key for each subset of size c of the shingles that have lists. The boundary goes by cost: a set is light while
+its subsets are no more than the entries in the lists that it would scan, by the mean length of the lists as measured.
+
+Sets that meet in a list are joined to candidate classes (connected components, on the executors). Each class comes together
+in one task, or in pairs of blocks where it is over BLOCK shingles, and is joined exactly there: every set's inverted lists are
+scanned and the overlaps counted, so no pairs leave the task, only links along a spanning forest and counts. What crosses the
+network is about 7 bytes a shingle, 15 more for a shared one, and each candidate's text once.
+
+Shingles are 64-bit hashes of their words; sets and texts are told apart by 128-bit digests.
 
 Nulls: a null or wordless text has an empty set and links with nothing. A null id stays null and never becomes a class id
 unless its class has no other. Repeated rows link as copies. An empty table gives no rows. Other columns are ignored.
@@ -32,7 +32,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
-from math import comb, exp
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -43,14 +43,13 @@ from pyspark.sql import functions as F
 from kinweave.llm import workers
 from kinweave.llm.common import Scratch, sieve, sift
 from kinweave.llm.links import Union, components
+from kinweave.llm.packed import narrow, wide
 from kinweave.llm.tokens import slices
 
-SUBSETS = 2
-SPARSE = 0.01
-LEVELS = 8
-FLUSH = 500_000
+FLUSH = 1_000_000
+BUCKET = 2_000_000
 BLOCK = 1_500_000
-COUNTERS = 1 << 22
+SALTED = 1_000_000
 KEPT_WORDS = 200_000
 _WORDS: dict[bytes, int] = {}
 workers.keeps("jaccard", _WORDS.clear)
@@ -100,18 +99,23 @@ def node_of(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
+def code_of(text):
+    """A text's 128-bit digest; null for null."""
+    return F.unhex(F.md5(F.encode(text, "UTF-8")))
+
+
 class Rule:
-    """Sizes, overlaps and keys for a similarity of num / den."""
-
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
-        self.light = 0
-        while self.subsets(self.light + 1) <= SUBSETS * (self.light + 1):
-            self.light += 1
-        # classes of sizes over LIGHT; partners lie in the same class or the next
-        self.starts = [self.light + 1]
-        while self.starts[-1] < 1 << 40:
-            self.starts.append(self.starts[-1] * den // num + 1)
+    """Sizes, overlaps and keys for a similarity of num / den. light: the size up to which sets go by subsets."""
+
+    def __init__(self, num: int, den: int, light: int = 0):
+        self.num, self.den, self.light = num, den, light
+
+    def by_cost(self, length: float) -> "Rule":
+        """With the boundary for lists of that mean length."""
+        light = 0
+        while self.subsets(light + 1) <= self.rarest(light + 1) * length:
+            light += 1
+        return Rule(self.num, self.den, light)
 
     def need(self, p: int, q: int) -> int:
         return -(-self.num * (p + q) // (self.num + self.den))
@@ -119,6 +123,10 @@ class Rule:
     def partners(self, p: int) -> range:
         return range(-(-self.num * p // self.den), self.den * p // self.num + 1)
 
+    def rarest(self, p):
+        """How many of a set's p shingles hold one that any partner shares."""
+        return p - -(-self.num * p // self.den) + 1
+
     @lru_cache(None)  # noqa: B019
     def overlaps(self, p: int, light: int | None = None) -> list[int]:
         """Sizes of the subsets that a set of size p emits; light: for partners or own sizes up to light only."""
@@ -127,60 +135,32 @@ class Rule:
     def subsets(self, p: int) -> int:
         return sum(comb(p, c) for c in self.overlaps(p))
 
-    def subset_keys(self, s: np.ndarray) -> np.ndarray:
-        p = len(s)
-        if self.partners(p)[0] > self.light:
-            return np.zeros(0, np.uint64)
-        total, keys = s.sum(dtype=np.uint64), []
+    def subset_keys(self, s: np.ndarray, p: int) -> np.ndarray:
+        """Keys of a set of size p whose shingles with lists are s."""
+        total, keys = s.sum(dtype=np.uint64), [np.zeros(0, np.uint64)]
         for c in self.overlaps(p, self.light):
-            gone = p - c
-            parts = np.array([total]) if gone == 0 else total - s if gone == 1 else total - np.array([s[list(x)].sum(dtype=np.uint64) for x in combinations(range(p), gone)], np.uint64)
-            keys.append(mixed(parts * _ODD[2] + np.uint64(c)))
-        return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-
-    @lru_cache(None)  # noqa: B019
-    def blocks(self, k: int) -> tuple[int, int]:
-        """m, e of class k, for pairs whose larger set is in it."""
-        low, high = max(self.light + 1, -(-self.num * self.starts[k] // self.den)), self.starts[k + 1] - 1
-        most = 2 * high * (self.den - self.num) // (self.num + self.den)
-        best = (1.0, 0)
-        for e in range(2 * most + 3):
-            m = most + 1 + e
-            mu = m * (1 - 1 / m) ** low  # expected empty blocks; their number is nearly Poisson
-            term = part = exp(-mu)
-            for j in range(1, e + 1):
-                term *= mu / j
-                part += term
-            best = min(best, (1 - part, e))
-            if 1 - part <= SPARSE:
-                break
-        return most + 1 + best[1], best[1]
-
-    def size_class(self, p: int) -> int:
-        return int(np.searchsorted(self.starts, p, side="right")) - 1
-
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        p = len(s)
-        if not p:
-            return np.zeros(0, np.uint64)
-        out = [self.subset_keys(s)]
-        if p > self.light:
-            own = self.size_class(p)
-            for k in (own, own + 1):
-                m, e = self.blocks(k)
-                for level in range(LEVELS):
-                    salt = np.uint64(((k + 1) * LEVELS + level) * int(_ODD[3]) & (1 << 64) - 1)
-                    scrambled = mixed(s + salt)
-                    at = (scrambled % np.uint64(m)).astype(np.int64)
-                    low = np.bincount(at, (scrambled & np.uint64(0xFFFFFFFF)).astype(np.float64), m).astype(np.uint64)
-                    high = np.bincount(at, (scrambled >> np.uint64(32)).astype(np.float64), m).astype(np.uint64)
-                    full = np.bincount(at, minlength=m) > 0
-                    content = mixed(low + (high << np.uint64(32)) + np.arange(1, m + 1, dtype=np.uint64) * _ODD[4] + salt)
-                    sparse = m - int(full.sum()) > e
-                    out.append(content if sparse and level == LEVELS - 1 else content[full])
-                    if not sparse:
-                        break
-        return np.concatenate(out)
+            gone = len(s) - c
+            if gone >= 0:
+                parts = np.array([total]) if gone == 0 else total - s if gone == 1 else total - np.array([s[list(x)].sum(dtype=np.uint64) for x in combinations(range(len(s)), gone)], np.uint64)
+                keys.append(mixed(parts * _ODD[2] + np.uint64(c)))
+        return np.concatenate(keys)
+
+    def keys(self, nodes: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and nodes from entries (node, size of its set, shingle, length of its list), all of a node's together."""
+        order = np.lexsort((shingles, lengths, nodes))
+        nodes, sizes, shingles = nodes[order], sizes[order].astype(np.int64), shingles[order]
+        starts = np.flatnonzero(np.r_[True, nodes[1:] != nodes[:-1]])[: len(nodes)]
+        held = np.diff(np.r_[starts, len(nodes)])
+        rank = np.arange(len(nodes)) - np.repeat(starts, held)
+        # shingles without a list are the rarest; one more key, for a set's own shingles may share an entry
+        scanned = self.rarest(sizes) + 1 - (sizes - np.repeat(held, held))
+        heavy = (sizes > self.light) & (rank < scanned)
+        keys, owners = [mixed(shingles[heavy] ^ _ODD[3])], [nodes[heavy]]
+        for at in np.flatnonzero(-(-self.num * sizes[starts] // self.den) <= self.light).tolist():
+            own = self.subset_keys(shingles[starts[at] : starts[at] + held[at]], int(sizes[starts[at]]))
+            keys.append(own)
+            owners.append(np.full(len(own), nodes[starts[at]]))
+        return np.concatenate(keys), np.concatenate(owners)
 
 
 def _described(docs: DataFrame, n: int) -> DataFrame:
@@ -197,106 +177,118 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
                     nodes.append(node_of(digests[-1]) if len(s) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(nodes, pa.int64())], ["doc_id", "code", "n_shingles", "digest", "node"])
 
-    return docs.mapInArrow(workers.tidy(run), "doc_id long, code long, n_shingles long, digest binary, node long")
-
-
-def _commonness(texts: DataFrame, n: int) -> np.ndarray:
-    """How often the shingles of each of COUNTERS hash classes occur in the texts, a fixed-size array (8 MB)."""
-    parts = 64
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(COUNTERS, np.int64)
-        for b in batches:
-            t = b.column(0).to_pylist()
-            for lo, hi in slices(t):
-                seen += np.bincount((np.concatenate([*shingle_sets(t[lo:hi], n), np.zeros(0, np.uint64)]) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-        for i, x in enumerate(np.split(np.minimum(seen, 65_535).astype("<u2"), parts)):
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["part", "counts"])
-
-    def total(table: pa.Table) -> pa.Table:
-        x = sum(np.frombuffer(c, "<u2").astype(np.int64) for c in table.column("counts").to_pylist())
-        return pa.table({"part": table.column("part")[:1], "counts": pa.array([np.minimum(x, 65_535).astype("<u2").tobytes()], pa.binary())})
+    return docs.mapInArrow(workers.tidy(run), "doc_id long, code binary, n_shingles long, digest binary, node long")
 
-    rows = texts.mapInArrow(workers.tidy(count), "part int, counts binary").groupBy("part").applyInArrow(workers.tidy_group(total), "part int, counts binary").collect()  # 64 rows
-    return np.concatenate([np.frombuffer(r["counts"], "<u2") for r in sorted(rows, key=lambda r: r["part"])]) if rows else np.zeros(COUNTERS, "<u2")
 
+def _bits(buckets: int) -> int:
+    return min(48, 64 - (buckets - 1).bit_length())
 
-def _lists(docs: DataFrame, n: int, rule: Rule, buckets: int, common=None) -> DataFrame:
-    """Inverted-list entries, packed: bucket, keys (5 bytes each), at (index into nodes, 2 bytes each), nodes.
 
-    common: a broadcast of _commonness. The keys are then each set's rarest shingles, as many as must hold one that any
-    linked set has among its own, within the class in the second column."""
+def _entries(texts: DataFrame, n: int, buckets: int) -> DataFrame:
+    """Entries of inverted lists, packed: bucket, shingles (the rest of the hash), at (index into nodes), nodes, sizes."""
+    bits = _bits(buckets)
 
-    def packed(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        nodes = np.array([x[0] for x in held], "<i8")
-        keys = np.concatenate([x[1] for x in held])
-        at = np.repeat(np.arange(len(held), dtype="<u2"), [len(x[1]) for x in held])
-        bucket = (keys >> np.uint64(40)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        ends = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-        five = np.ascontiguousarray(keys.astype("<u8").view("u1").reshape(-1, 8)[:, :5])
+    def packed(held: list[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        nodes, sizes = np.array([x[0] for x in held], "<i8"), np.array([len(x[1]) for x in held], "<u4")
+        s, at = np.concatenate([x[1] for x in held]), np.repeat(np.arange(len(held), dtype="<u2"), sizes)
+        own = s % np.uint64(buckets) << np.uint64(bits) | s // np.uint64(buckets) & np.uint64((1 << bits) - 1)
+        order = np.argsort(own, kind="stable")
+        own, at = own[order], at[order]
+        ends = np.r_[np.searchsorted(own, np.arange(buckets, dtype=np.uint64) << np.uint64(bits)), len(own)]
         rows = []
-        for i in range(buckets):
-            if ends[i + 1] > ends[i]:
-                own = order[ends[i] : ends[i + 1]]
-                used, local = np.unique(at[own], return_inverse=True)
-                rows.append((i, five[own].tobytes(), local.astype("<u2").tobytes(), nodes[used].tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "keys", "at", "nodes"])
+        for i, (x, y) in enumerate(zip(ends, ends[1:])):
+            if y > x:
+                used, local = np.unique(at[x:y], return_inverse=True)
+                rows.append((i, narrow(own[x:y] & np.uint64((1 << bits) - 1)), local.astype("<u2").tobytes(), nodes[used].tobytes(), sizes[used].tobytes()))
+        for r in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[r : r + 256]), (pa.int32(), *[pa.binary()] * 4))], ["bucket", "shingles", "at", "nodes", "sizes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count, seen = [], 0, set()
         for b in batches:
-            texts = b.column(0).to_pylist()
-            classes = b.column(1).to_numpy().view(np.uint64) if common is not None else [None] * len(texts)
-            for lo, hi in slices(texts):
-                for s, own in zip(shingle_sets(texts[lo:hi], n), classes[lo:hi]):
-                    if not len(s):
-                        continue
-                    node = node_of(digest_of(s))
-                    if node in seen:  # a copy in this task
+            t = b.column(0).to_pylist()
+            for lo, hi in slices(t):
+                for s in shingle_sets(t[lo:hi], n):
+                    node = node_of(digest_of(s)) if len(s) else None
+                    if node is None or node in seen:  # a copy in this task
                         continue
                     if len(seen) < 200_000:
                         seen.add(node)
-                    if own is None:
-                        keys = rule.keys(s)
-                    else:
-                        rarest = np.lexsort((s, common.value[(s % np.uint64(COUNTERS)).astype(np.int64)]))
-                        keys = mixed(s[rarest[: len(s) - -(-rule.num * len(s) // rule.den) + 1]] ^ own)
-                    if count + len(keys) > FLUSH and held or len(held) == 65_535:
-                        yield packed(held)
+                    if held and (count + len(s) > FLUSH or len(held) == 65_535):
+                        yield from packed(held)
                         held, count = [], 0
-                    held.append((node, keys))
-                    count += len(keys)
-        if held and count:
-            yield packed([x for x in held if len(x[1])])
+                    held.append((node, s))
+                    count += len(s)
+        if held:
+            yield from packed(held)
 
-    return docs.mapInArrow(workers.tidy(run), "bucket int, keys binary, at binary, nodes binary")
+    return texts.mapInArrow(workers.tidy(run), "bucket int, shingles binary, at binary, nodes binary, sizes binary")
 
 
-def _met(lists: DataFrame) -> DataFrame:
-    """a, b: links that join all nodes which share a key."""
+_SHARED = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.float64())
+
+
+def _shared(entries: DataFrame, buckets: int) -> DataFrame:
+    """The entries of lists of two sets or more, dealt by node: to, bucket, shingles, nodes, sizes, lengths; n entries and their parts of lists."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys, nodes = [], []
-        for k, a, v in zip(table.column("keys").to_pylist(), table.column("at").to_pylist(), table.column("nodes").to_pylist()):
-            five = np.frombuffer(k, "u1").reshape(-1, 5)
-            eight = np.zeros((len(five), 8), "u1")
-            eight[:, :5] = five
-            keys.append(eight.view("<u8").ravel())
-            nodes.append(np.frombuffer(v, "<i8")[np.frombuffer(a, "<u2")])
-        keys, nodes = np.concatenate(keys), np.concatenate(nodes)
-        order = np.argsort(keys)
-        keys, nodes = keys[order], nodes[order]
-        first = np.r_[True, keys[1:] != keys[:-1]]
-        head = nodes[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
-        other = head != nodes
-        union = Union()
-        for a, b in np.unique(np.stack([head[other], nodes[other]], 1), axis=0).tolist():
-            union.join(a, b)
-        pairs = np.array([(r, x) for x in union.up if (r := union.find(x)) != x], "i8").reshape(-1, 2)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return lists.groupBy("bucket").applyInArrow(workers.tidy_group(run), "a long, b long")
+        keys, nodes, sizes = [], [], []
+        for k, a, v, p in zip(*(table.column(c).to_pylist() for c in ("shingles", "at", "nodes", "sizes"))):
+            at = np.frombuffer(a, "<u2")
+            keys.append(wide(k))
+            nodes.append(np.frombuffer(v, "<i8")[at])
+            sizes.append(np.frombuffer(p, "<u4")[at])
+        keys, nodes, sizes = np.concatenate(keys), np.concatenate(nodes), np.concatenate(sizes)
+        order = np.argsort(keys, kind="stable")
+        keys, nodes, sizes = keys[order], nodes[order], sizes[order]
+        more = np.zeros(len(keys) + 1, bool)
+        more[1:-1] = keys[1:] == keys[:-1]
+        several = more[:-1] | more[1:]
+        keys, nodes, sizes = keys[several], nodes[several], sizes[several]
+        order = np.lexsort((nodes, keys))
+        keys, nodes, sizes = keys[order], nodes[order], sizes[order]
+        once = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])][: len(keys)]  # a set may come from several tasks
+        keys, nodes, sizes = keys[once], nodes[once], sizes[once]
+        _, which, n = np.unique(keys, return_inverse=True, return_counts=True)
+        length = n[which.reshape(-1)]
+        keys, nodes, sizes, length = (x[length > 1] for x in (keys, nodes, sizes, length))
+        to = nodes.view(np.uint64) % np.uint64(buckets)
+        order = np.argsort(to, kind="stable")  # keys ascend in each part
+        cuts = np.searchsorted(to[order], np.arange(buckets + 1, dtype=np.uint64))
+        rows = []
+        for i, (x, y) in enumerate(zip(cuts, cuts[1:])):
+            if y > x:
+                own = order[x:y]
+                few = np.minimum(length[own], 65_535)
+                rows.append((i, table.column("bucket")[0].as_py(), narrow(keys[own]), nodes[own].tobytes(), sizes[own].tobytes(), few.astype("<u2").tobytes(), len(own), float((1 / few).sum())))
+        columns = list(zip(*rows)) if rows else [()] * 8
+        return pa.table([pa.array(c, t) for c, t in zip(columns, _SHARED)], names=["to", "bucket", "shingles", "nodes", "sizes", "lengths", "n", "lists"])
+
+    return entries.groupBy("bucket").applyInArrow(workers.tidy_group(run), "to int, bucket int, shingles binary, nodes binary, sizes binary, lengths binary, n long, lists double")
+
+
+def _lists(shared: DataFrame, rule: Rule, buckets: int) -> DataFrame:
+    """key, node: the lists that each set scans, and its subsets."""
+    bits = _bits(buckets)
+
+    def run(table: pa.Table) -> pa.Table:
+        shingles = np.concatenate([wide(k) | np.uint64(b << bits) for k, b in zip(table.column("shingles").to_pylist(), table.column("bucket").to_pylist())])
+        nodes, sizes, lengths = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("nodes", "<i8"), ("sizes", "<u4"), ("lengths", "<u2")))
+        keys, owners = rule.keys(nodes, sizes, shingles, lengths)
+        return pa.table({"key": keys.view(np.int64), "node": owners})
+
+    return shared.groupBy("to").applyInArrow(workers.tidy_group(run), "key long, node long")
+
+
+def _met(lists: DataFrame) -> DataFrame:
+    """a, b: links that join all nodes which share a key, by way of the smallest one; long lists in parts."""
+    parts = max(1, -(-lists.count() // SALTED))
+    dealt = lists.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(parts)))
+    in_part = dealt.groupBy("key", "part").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n"))
+    whole = in_part.groupBy("key").agg(F.min("head").alias("first"), F.sum("n").alias("all")).where("all > 1")
+    heads = in_part.join(whole, "key")
+    inner = dealt.join(heads.where("n > 1").select("key", "part", "head"), ["key", "part"]).select(F.col("head").alias("a"), F.col("node").alias("b"))
+    return inner.unionByName(heads.select(F.col("first").alias("a"), F.col("head").alias("b"))).where("a != b").distinct()
 
 
 def overlapping(sets: list[np.ndarray], rule: Rule, left: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
@@ -365,34 +357,24 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     """Each row's doc_id, code, n_shingles and digest; and each set's class: digest, root, first (its class's first row), n_links."""
     spark = docs.sparkSession
     keep, rule = Scratch(spark, "jaccard"), Rule(num, den)
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("code"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), code_of(F.col(text_col)).alias("code"), F.col(text_col).alias("text"))
     known = keep.put(_described(own, words), "described")
     full = known.where("digest is not null")
     entries = full.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    buckets = max(4, -(-entries // 4 // FLUSH))
-    met = components(_met(_lists(own.select("text"), words, rule, buckets)), keep, "met")
+    buckets = max(4, -(-entries // BUCKET))
+    shared = keep.put(_shared(_entries(own.select("text"), words, buckets), buckets), "shared")
+    n, n_lists = shared.agg(F.coalesce(F.sum("n"), F.lit(1)), F.coalesce(F.sum("lists"), F.lit(1.0))).first()
+    rule = rule.by_cost(n / n_lists)
+    lists = keep.put(_lists(shared, rule, buckets), "lists")
+    keep.drop("shared")
+    met = components(_met(lists), keep, "met")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "code"))
     sets = keep.put(full.groupBy("digest", "node").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles")), "sets")
     # one text of each candidate set, with the number of its rows
     candidates = keep.put(sets.join(met.withColumnRenamed("root", "class"), "node").select("digest", "node", "first.code", "copies", "n_shingles", "class"), "candidates")
-    mass = lambda c: c.groupBy("class").agg(F.sum("n_shingles").alias("mass"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    sizes = keep.put(mass(candidates), "sizes")
-    large = sizes.where(F.col("mass") > BLOCK).select("class")
-    if large.limit(1).count():
-        # a class that large may hang together by shared passages alone: split it by its sets' rarest shingles
-        apart = candidates.join(large, "class")
-        codes = keep.put(apart.select("code", "class").dropDuplicates(["code"]), "codes")
-        few = sift(own.select("code", "text"), "code", sieve(codes.select("code")), "near").where("near").join(codes, "code").groupBy("code", "class").agg(F.first("text").alias("text"))
-        few = keep.put(few.select("text", "class"), "few", "zstd")
-        common = spark.sparkContext.broadcast(_commonness(few.select("text"), words))  # COUNTERS small numbers
-        entries = apart.agg(F.sum("n_shingles")).first()[0]
-        split = components(_met(_lists(few, words, rule, max(4, entries // 4 // FLUSH), common)), keep, "split")
-        keep.drop("few")
-        finer = apart.drop("class").join(split.withColumnRenamed("root", "class"), "node")
-        candidates = keep.put(candidates.join(large, "class", "left_anti").unionByName(finer), "finer")
-        sizes = mass(candidates)
-    sizes = sizes.withColumn("blocks", F.when(F.col("mass") > BLOCK, F.ceil(F.col("mass") / (BLOCK // 2))).otherwise(F.lit(1)).cast("int"))
-    wanted = candidates.join(sizes.select("class", "blocks"), "class").select("code", "copies", "class", "blocks", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int").alias("block")).dropDuplicates(["code"])
+    sizes = candidates.groupBy("class").agg(F.sum("n_shingles").alias("mass"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    sizes = sizes.select("class", F.when(F.col("mass") > BLOCK, F.ceil(F.col("mass") / (BLOCK // 2))).otherwise(F.lit(1)).cast("int").alias("blocks"))
+    wanted = candidates.join(sizes, "class").select("code", "copies", "class", "blocks", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int").alias("block")).dropDuplicates(["code"])
     wanted = keep.put(wanted, "wanted")
     near = sift(own.select("code", "text"), "code", sieve(wanted.select("code")), "near").where("near").drop("near")
     texts = near.join(wanted, "code").groupBy("code", "copies", "class", "blocks", "block").agg(F.first("text").alias("text"))
@@ -424,10 +406,10 @@ def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
     many = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = keep.put(rows.join(many, "root").select("doc_id", "code", "first"), "shared")
     firsts = shared.select(F.col("first.doc_id").alias("__id"), F.col("first.code").alias("__code")).distinct()
-    coded = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("own"), F.xxhash64(F.col(text_col)).alias("code"))
+    coded = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("own"), code_of(F.col(text_col)).alias("code"))
     coded = sift(coded, "code", sieve(shared.select("code")), "near")
     alone = coded.where("not near").select("row")  # most rows, which need no shuffle
     near = coded.where("near")
-    kept = near.join(firsts, F.col("own").eqNullSafe(F.col("__id")) & (F.col("code") == F.col("__code")), "left_semi").groupBy("own", "code").agg(F.first("row").alias("row")).select("row")
+    kept = near.join(firsts, F.col("own").eqNullSafe(F.col("__id")) & (F.col("code") == F.col("__code")), "left_semi").groupBy("own", "code").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row")
     other = near.join(shared.select(F.col("code").alias("__other")).distinct(), F.col("code") == F.col("__other"), "left_anti").select("row")
     return alone.unionByName(kept).unionByName(other).select("row.*")

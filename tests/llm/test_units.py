@@ -149,20 +149,40 @@ def test_union_and_leaves():
     assert [len(i) for i in neighbours.leaves(same, 0.02, 1)] == [600]
 
 
-def test_similar_sets_share_a_key():
-    """Every pair at the threshold or above has a common key, for small and large sets, equal and unequal sizes."""
+@pytest.mark.parametrize("light", [0, 9, 13])
+def test_similar_sets_share_a_key(light):
+    """Every pair at the threshold or above has a common key, for small and large sets, equal and unequal sizes, rare and common shingles."""
     rng = np.random.default_rng(6)
     for num, den in ((85, 100), (80, 100)):
-        rule = jaccard.Rule(num, den)
-        for _ in range(1500):
+        rule = jaccard.Rule(num, den, light)
+        common = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+        sets, pairs = [], []
+        for _ in range(700):
             p = int(rng.choice([rng.integers(1, 20), rng.integers(10, 60), rng.integers(60, 600)]))
             q = int(rng.choice(list(rule.partners(p))))
             need = rule.need(p, q)
             if need > min(p, q):
                 continue
-            pool = rng.integers(0, 1 << 63, p + q - need).astype(np.uint64)
-            a, b = np.unique(pool[:p]), np.unique(np.r_[pool[:need], pool[p:]])
-            assert np.intersect1d(rule.keys(a), rule.keys(b)).size
+            pool = rng.permutation(np.unique(np.r_[rng.choice(common, min(p // 2, 300), False), rng.integers(0, 1 << 63, p + q).astype(np.uint64)]))[: p + q - need]
+            if len(pool) < p + q - need:
+                continue
+            pairs.append(len(sets))
+            sets += [np.unique(pool[:p]), np.unique(np.r_[pool[:need], pool[p:]])]
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        _, which, n = np.unique(flat, return_inverse=True, return_counts=True)
+        length = n[which]
+        sizes = np.array([len(s) for s in sets])[owner]
+        shared = length > 1
+        keys, nodes = rule.keys(owner[shared], sizes[shared], flat[shared], length[shared])
+        for i in pairs:
+            assert np.intersect1d(keys[nodes == i], keys[nodes == i + 1]).size, (len(sets[i]), len(sets[i + 1]))
+
+
+def test_boundary_goes_by_cost():
+    rule = jaccard.Rule(85, 100)
+    assert rule.by_cost(1.0).light <= rule.by_cost(3.0).light <= rule.by_cost(50.0).light < 40
+    own = rule.by_cost(20.0)
+    assert own.subsets(own.light) <= own.rarest(own.light) * 20 < own.rarest(own.light + 1) * 20 < own.subsets(own.light + 1) + 20
 
 
 def test_overlapping_equals_brute_force():
