@@ -29,6 +29,8 @@ from kinweave.llm.tokens import slices
 
 WINDOW = 8
 MOST_LABELS = 20_000
+#: The share of good documents that may go, and the share of junk that must, both on labels held out.
+SPARE, CAUGHT = 0.001, 0.95
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_digits", "n_marks", "n_lines", "n_distinct")
@@ -161,21 +163,36 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(workers.tidy(run), "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS, spare: float = 0.001) -> Trees | None:
-    """The trees, with the cut below which documents go: log odds of 0, or lower, so that of the good documents of the sample at
-    most the share `spare` goes. docs: doc_id, text."""
+def cut_of(good: np.ndarray, junk: np.ndarray, spare: float, caught: float) -> float:
+    """Log odds of 0, or lower, so that at most the share `spare` of the good scores is below; but never so low that less than the
+    share `caught` of the junk scores is, where a cut of 0 would catch it."""
+    low = np.sort(good)[int(spare * len(good))] if len(good) else 0.0
+    least = np.sort(junk)[min(len(junk) - 1, int(caught * len(junk)))] if len(junk) else 0.0
+    return float(max(min(0.0, low), min(0.0, least)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS, spare: float = SPARE, caught: float = CAUGHT) -> Trees | None:
+    """The trees, with the cut below which documents go, chosen on a quarter of the sample that the trees don't see (on all of it
+    where that has under 20 of either kind). docs: doc_id, text."""
     sample = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labels)
     sample = F.broadcast(sample.select(F.col("doc_id").alias("own"), "quality"))  # at most most_labels rows
     counted = _counted(docs.join(sample.select("own"), F.col("own") == F.col("doc_id")).select("doc_id", "text"))
     known = counted.where("n_words >= 20 and 100 * n_repeat_words <= 30 * n_words").join(sample, F.col("own") == F.col("doc_id"))
-    rows = known.groupBy("doc_id").agg(F.min(F.struct("quality", *COUNTS)).alias("r")).select("doc_id", "r.*").orderBy("doc_id").collect()
+    held = (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).alias("held")
+    rows = known.groupBy("doc_id").agg(F.min(F.struct("quality", *COUNTS)).alias("r")).select("doc_id", "r.*", held).orderBy("doc_id").collect()
     y = np.array([float(r["quality"] > 0) for r in rows])
     if not len(y) or y.min() == y.max():
         return None
     x = statistics(np.array([[r[c] for c in COUNTS] for r in rows]))
-    model = train(x, y, np.array([-1 if s in FALLING else 0 for s in STATISTICS]))
-    good = np.sort(model.score(x)[y > 0])
-    model.cut = float(min(0.0, good[int(spare * len(good))]))
+    apart = np.array([r["held"] for r in rows])
+    if min((apart & (y > 0)).sum(), (apart & (y == 0)).sum()) < 20:
+        apart = np.ones(len(y), bool)
+        seen = apart
+    else:
+        seen = ~apart
+    model = train(x[seen], y[seen], np.array([-1 if s in FALLING else 0 for s in STATISTICS]))
+    score = model.score(x[apart])
+    model.cut = cut_of(score[y[apart] > 0], score[y[apart] == 0], spare, caught)
     return model
 
 

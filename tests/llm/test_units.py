@@ -206,5 +206,13 @@ def test_repeated_words_and_trees():
     assert (np.diff(model.score(line)) <= 1e-12).all()
 
 
+def test_cut_keeps_good_and_catches_junk():
+    good, junk = np.linspace(-1, 3, 1000), np.linspace(-4, -0.5, 100)
+    cut = quality.cut_of(good, junk, 0.001, 0.95)
+    assert -1 < cut <= -0.6 and (junk < cut).mean() >= 0.9
+    assert quality.cut_of(np.r_[good, [-9.0] * 5], junk, 0.001, 0.95) >= -0.8  # a few mislabelled ones don't open the door
+    assert quality.cut_of(good + 2, junk, 0.001, 0.95) == 0 and quality.cut_of(np.zeros(0), np.zeros(0), 0.1, 0.9) == 0
+
+
 def test_crc():
     assert tokens.crc(b"abc") == zlib.crc32(b"abc")
