@@ -13,7 +13,7 @@ A source's weight goes by its place in code-point order (null last). Its target
 all words, at most cap times its own words, the excess shared again by weight until no source is above.
 
 Nulls: a null text has size 0, a null source is a source of its own, a null id stays null. Repeated rows are rows of their
-own. A document without words takes none. An empty table gives no rows. Rounding goes by hashes of the rows, so reruns agree. Other columns are ignored.
+own, counted together before they are dealt to chunks. A document without words takes none. An empty table gives no rows. Rounding goes by hashes of the rows, so reruns agree. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -77,49 +77,63 @@ def tilts(histogram: DataFrame, aims: DataFrame, cap: float, keep: Scratch) -> D
 
 
 def diffuse(docs: DataFrame, cap: int) -> DataFrame:
-    """copies of each row of source, chunk, doc_id, code, size, rate, inside its chunk."""
-    item = F.struct((-F.col("size")).alias("order"), F.xxhash64("code").alias("tie"), F.col("code"), F.col("doc_id"), F.col("size"), F.col("rate"))
+    """total copies of each distinct row of source, chunk, doc_id, code, size, n (how often it stands), rate, inside its chunk.
+    A chunk has about CHUNK distinct rows, however often they stand."""
+    item = F.struct((-F.col("size")).alias("order"), F.xxhash64("code").alias("tie"), F.col("code"), F.col("doc_id"), F.col("size"), F.col("n"), F.col("rate"))
     lists = docs.groupBy("source", "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    empty = F.array().cast("array<int>")
+    empty = F.array().cast("array<long>")
 
     def place(acc, x):
-        due = acc["due"] + x["size"] * x["rate"]
-        copies = F.when(x["size"] > 0, F.greatest(F.lit(0), F.least(F.lit(cap), F.floor((due - acc["got"]) / x["size"] + 0.5).cast("int")))).otherwise(F.lit(0))
+        due = acc["due"] + x["size"] * x["rate"] * x["n"]
+        most = x["n"] * F.lit(cap)
+        copies = F.when(x["size"] > 0, F.greatest(F.lit(0), F.least(most, F.floor((due - acc["got"]) / x["size"] + 0.5)))).otherwise(F.lit(0)).cast("long")
         return F.struct(due.alias("due"), (acc["got"] + x["size"] * copies).alias("got"), F.concat(acc["copies"], F.array(copies)).alias("copies"))
 
     start = F.struct(F.lit(0.0).alias("due"), F.lit(0).cast("long").alias("got"), empty.alias("copies"))
     chosen = F.aggregate("items", start, place, lambda acc: acc["copies"])
-    return lists.select("source", F.inline(F.zip_with("items", chosen, lambda x, c: F.struct(x["doc_id"].alias("doc_id"), x["code"].alias("code"), x["size"].alias("size"), x["rate"].alias("rate"), c.alias("copies")))))
+    return lists.select("source", F.inline(F.zip_with("items", chosen, lambda x, c: F.struct(x["doc_id"].alias("doc_id"), x["code"].alias("code"), x["size"].alias("size"), x["n"].alias("n"), x["rate"].alias("rate"), c.alias("total")))))
 
 
 def row_code(docs: DataFrame):
-    """A hash of all columns (but maps, which can't be hashed): rows with one code are taken for equal."""
-    return F.xxhash64(*[F.col(c) for c, kind in docs.dtypes if "map<" not in kind])
+    """A 128-bit digest of all columns, maps too: rows with one code are taken for equal."""
+    return F.unhex(F.md5(F.to_json(F.struct(*[F.col(c) for c in docs.columns]))))
 
 
-def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, cap: int = 2, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, code (a hash of the row), size, source_size, target, rate, copies, taken of every row."""
+def _chosen(docs: DataFrame, weights: list[float], share: float, cap: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """doc_id, code, size, source_size, target, rate, n, total copies of every distinct row."""
     keep = Scratch(docs.sparkSession, "mixing")
-    rows = keep.put(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), row_code(docs).alias("code")), "rows")
-    histogram = keep.put(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
-    totals = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("docs"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), row_code(docs).alias("code"))
+    rows = keep.put(rows.groupBy("code").agg(*[F.first(c).alias(c) for c in ("doc_id", "source", "size")], F.count(F.lit(1)).alias("n")), "rows")
+    histogram = keep.put(rows.groupBy("source", "size").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")), "histogram")
+    totals = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("distinct").alias("docs"))
     aims = keep.put(targets(totals.drop("docs"), list(weights), share, cap), "targets")
-    found = tilts(histogram, aims, cap, keep)
+    found = tilts(histogram.drop("distinct"), aims, cap, keep)
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
     per_source = aims.join(found, same(aims, found), "left").join(totals, same(aims, totals), "left").select(aims["source"], aims["source_size"], "target", "mean", "tilt", F.ceil(totals["docs"] / CHUNK).alias("chunks"))
     per_source = keep.put(per_source.coalesce(1), "per_source")
     rate = F.coalesce(F.least(F.lit(float(cap)), F.exp(F.least(F.col("tilt") * F.col("size") / F.col("mean"), F.lit(50.0)))), F.lit(0.0))
-    rated = rows.join(per_source.select(F.col("source").alias("own"), "mean", "tilt", "chunks"), F.col("own").eqNullSafe(rows["source"])).select("source", F.pmod(F.xxhash64("code", F.lit(1)), F.col("chunks")).alias("chunk"), "doc_id", "code", "size", rate.alias("rate"))
+    rated = rows.join(per_source.select(F.col("source").alias("own"), "mean", "tilt", "chunks"), F.col("own").eqNullSafe(rows["source"])).select("source", F.pmod(F.xxhash64("code", F.lit(1)), F.col("chunks")).alias("chunk"), "doc_id", "code", "size", "n", rate.alias("rate"))
     whole = diffuse(rated, cap)
     per_source = per_source.select(F.col("source").alias("own"), "source_size", "target")
-    return whole.join(per_source, F.col("own").eqNullSafe(whole["source"])).select("doc_id", "code", "size", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+    return whole.join(per_source, F.col("own").eqNullSafe(whole["source"])).select("doc_id", "code", "size", "source_size", "target", "rate", "n", "total")
+
+
+def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, cap: int = 2, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, code (a digest of the row), size, source_size, target, rate, copies, taken of every row. Equal rows share their
+    copies: each takes the same number of them, some one more."""
+    found = _chosen(docs, weights, share, cap, id_col, text_col, source_col)
+    each, more = F.floor(F.col("total") / F.col("n")), F.pmod(F.col("total"), F.col("n"))
+    kinds = F.explode(F.array(F.struct((each + 1).alias("copies"), more.alias("times")), F.struct(each.alias("copies"), (F.col("n") - more).alias("times"))))
+    dealt = found.withColumn("k", kinds).where("k.times > 0").withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k.times"))))
+    copies = F.col("k.copies").cast("int")
+    return dealt.select("doc_id", "code", "size", "source_size", "target", "rate", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
 
 
-def mixed(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, cap: int = 2) -> DataFrame:
+def mixed(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, cap: int = 2, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents, each as often as the mix takes it, all columns as they were."""
-    taken = mix(docs, weights, share, cap).groupBy("code").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")).withColumnRenamed("code", "__own")
-    # equal rows share their copies: the first of them stands for all
+    taken = _chosen(docs, weights, share, cap, id_col, text_col, source_col).where("total > 0").select(F.col("code").alias("__own"), F.col("n").alias("__rows"), F.col("total").alias("__copies"))
+    # one of the equal rows stands for all
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), row_code(docs).alias("code"))
-    single = rows.join(taken.where("__copies > 0"), F.col("code") == F.col("__own"))
+    single = rows.join(taken, F.col("code") == F.col("__own"))
     once = single.where("__rows = 1").select("row", "__copies").unionByName(single.where("__rows > 1").groupBy("code").agg(F.first("row").alias("row"), F.first("__copies").alias("__copies")).select("row", "__copies"))
     return once.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select("row.*")

@@ -295,6 +295,12 @@ def test_mixing(spark):
     for s in order:
         assert abs(target[s] - want[s]) < 1e-6 * want[s] and abs(taken[s] - want[s]) <= 25
     assert sorted(map(tuple, mixing.mix(df).select("doc_id", "size", "taken").collect()), key=str) == sorted(((r["doc_id"], r["size"], r["taken"]) for r in got), key=str)
+    many = spark.createDataFrame([(1, "w " * 7, "s0")] * 900 + [(2, "w " * 3, "s0"), (3, None, "s0")], "doc_id long, text string, source string").withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    copies = [(r["doc_id"], r["copies"], r["taken"]) for r in mixing.mix(many).collect()]
+    assert len(copies) == 902 and abs(sum(x for _, _, x in copies) - 1.5 * 6303) <= 7 and {c for d, c, _ in copies if d == 1} <= {1, 2}
+    assert mixing.mixed(many).where("m['k'] = 1").count() == sum(c for d, c, _ in copies if d == 1)
+    apart = spark.createDataFrame([(1, "w " * 30, "s0")] * 2, "doc_id long, text string, source string").withColumn("m", F.create_map(F.lit("k"), F.monotonically_increasing_id()))
+    assert mixing.mixed(apart).select(F.col("m")["k"].alias("k")).distinct().count() == 2  # rows that differ in a map alone
     out = mixing.mixed(df)
     assert out.columns == df.columns and out.count() == sum(r["copies"] for r in got)
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mixed(docs(spark, [])).count() == 0
