@@ -413,3 +413,29 @@ def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
     kept = near.join(firsts, F.col("own").eqNullSafe(F.col("__id")) & (F.col("code") == F.col("__code")), "left_semi").groupBy("own", "code").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row")
     other = near.join(shared.select(F.col("code").alias("__other")).distinct(), F.col("code") == F.col("__other"), "left_anti").select("row")
     return alone.unionByName(kept).unionByName(other).select("row.*")
+
+
+#: DuckDB SQL for the rows of join() with its defaults, by the inverted lists of all shingles.
+SQL = r"""
+with recursive w as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+    from documents
+),
+s as materialized (
+    select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < 4 then [array_to_string(ws, ' ')]
+        else [array_to_string(ws[i : i + 3], ' ') for i in range(1, len(ws) - 2)] end) as shingles
+    from w
+),
+one as materialized (select min(doc_id) as id, any_value(shingles) as shingles, len(any_value(shingles)) as n, count(*) as copies from s group by list_sort(shingles)),
+e as materialized (select id, n, unnest(shingles) as shingle from one),
+met as materialized (
+    select a.id as a, b.id as b from e a join e b on a.shingle = b.shingle and a.id <> b.id and 100 * b.n >= 85 * a.n and 100 * a.n >= 85 * b.n
+    group by a.id, b.id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reach as (select id as a, id as b from one where n > 0 union select r.a, m.b from reach r join met m on m.a = r.b),
+roots as (select a, min(b) as root from reach group by 1),
+counts as (select a, sum(copies) as others from met join one on one.id = met.b group by 1)
+select s.doc_id, len(s.shingles)::bigint as n_shingles, coalesce(r.root, s.doc_id) as component_id,
+    case when len(s.shingles) = 0 then 0 else o.copies - 1 + coalesce(c.others, 0) end::bigint as n_links
+from s join one o on list_sort(o.shingles) = list_sort(s.shingles) left join roots r on r.a = o.id left join counts c on c.a = o.id
+"""

@@ -287,3 +287,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, trees: int = TR
     out = rows.select("vec_id", "key").join(per_key, "key", "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+
+
+#: DuckDB SQL for the rows of near_duplicates(), by all pairs.
+SQL = """
+with recursive v as (
+    select vec_id, label, embedding::double[] as e from embeddings
+    where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as materialized (
+    select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    where list_cosine_similarity(a.e, b.e) >= 0.93
+),
+reach as (select vec_id as a, vec_id as b from v union select r.a, l.b from reach r join links l on l.a = r.b)
+select d.vec_id, (select count(*) from links l where l.a = d.vec_id) as n_links, coalesce(m.least, d.vec_id) as component_id,
+    coalesce(m.least, d.vec_id) = d.vec_id as kept
+from embeddings d left join (select a, min(b) as least from reach group by 1) m on m.a = d.vec_id
+"""

@@ -71,4 +71,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_scoring": scoring.SQL}
+    return {"op1_jaccard": jaccard.SQL, "op5_scoring": scoring.SQL, "op6_warc": warc.SQL, "op7_neighbours": neighbours.SQL}

@@ -104,3 +104,24 @@ def records(archive: DataFrame) -> DataFrame:
         )
         .select(page("rid").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("rto").alias("refers_to"), "url")
     )
+
+
+#: DuckDB SQL for the rows of records(), without url. Four groups of 40 bits of the SHA-1 give eight base32 digits each.
+SQL = """
+with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+q as (
+    select page_id, octet_length(payload) as payload_bytes, sha1(payload) as h,
+        row_number() over (partition by payload order by page_id nulls last) as place,
+        first_value(page_id) over (partition by payload order by page_id nulls last) as smallest
+    from p
+)
+select page_id, payload_bytes::bigint as payload_bytes,
+    array_to_string([
+        array_to_string([
+            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 1 + 10 * i, 10))::bigint >> (35 - 5 * j)) & 31)::int + 1, 1)
+            for j in range(8)], '')
+        for i in range(4)], '') as payload_digest,
+    case when place = 1 then 'response' else 'revisit' end as record_type,
+    case when place > 1 then smallest end as refers_to
+from q
+"""
