@@ -16,8 +16,12 @@ LEADING_ZEROS = r"\b0+(\d)"
 SKELETON_STEPS = (("x", "ks"), ("([pbktdscg])h", "$1"), ("c(?=[eiy])", "s"), ("g(?=[eiy])", "j"), ("[cqg]", "k"), ("f", "p"), ("[vw]", "b"), ("d", "t"), ("[zj]", "s"), ("m", "n"), ("[aeiouyh]", ""), (r"([a-z])\1+", "$1"))
 SKELETON_STOP = r"\b(prbt|pbt|lnt|lt|pr|l)\b"
 #: Latin letters that don't decompose to a letter and marks.
+# Letters by sound, in alphabetical order of each script; "." drops a sign.
+CYRILLIC = dict(zip("абвгдежзийклмнопрстуфхцчшщъыьэюяёєіїґ", "a b v g d e zh z i i k l m n o p r s t u f kh ts ch sh shch . y . e iu ia io ie i i g".split()))
+GREEK = dict(zip("αβγδεζηθικλμνξοπρςστυφχψωάέήίόύώϊϋΐΰ", "a b g d e z e th i k l m n x o p r s s t u ph kh ps o a e e i o u o i u i u".split()))
+ARABIC = dict(zip("ءآأؤإئابةتثجحخدذرزسشصضطظعغفقكلمنهوىيپچژگ", ". a a w i y a b h t th j h kh d dh r z s sh s d t z . gh f q k l m n h w a y p ch zh g".split()))
 LATIN = {"ß": "ss", "œ": "oe", "Œ": "OE", "æ": "ae", "Æ": "AE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "þ": "th", "Þ": "TH", "ð": "d", "Ð": "D", "ı": "i", "ŋ": "n", "Ŋ": "N", "ħ": "h", "Ħ": "H"}
-#: The Devanagari block from U+0901 on, in order; "" drops the sign, "?" is not assigned. The other Indic blocks up to
+#: The Devanagari block from U+0901 on, in order; "." drops a sign or is not assigned. The other Indic blocks up to
 #: Malayalam are laid out alike, 0x80 apart.
 INDIC = "m m h a a a i i u u ri l e e e ai o o o au k kh g gh n c ch j jh n t th d dh n t th d dh n n p ph b bh m y r r l l l v s s s h . . . . a i i u u ri r e e e ai o o o au ."
 INDIC_BLOCKS = range(0x0900, 0x0D80, 0x80)
@@ -32,8 +36,11 @@ def _tables() -> tuple[str, str, dict[str, str]]:
         base = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if x.isascii())
         if len(base) == 1 and base.isalpha():
             one[chr(code)] = base
-    for k, v in LATIN.items():
+    scripts = {k: v for table in (CYRILLIC, GREEK, ARABIC) for k, v in table.items() if v != "."}
+    scripts |= {k.upper(): v.capitalize() for k, v in scripts.items() if len(k.upper()) == 1 and k.upper() != k}
+    for k, v in (LATIN | scripts).items():
         (one if len(v) == 1 else more)[k] = v
+    one |= {chr(0x0660 + i): str(i) for i in range(10)} | {chr(0x06F0 + i): str(i) for i in range(10)}
     first = INDIC_BLOCKS[0]
     for i, sound in enumerate(INDIC.split()):
         sound = "" if sound == "." else sound
@@ -53,12 +60,13 @@ def _tables() -> tuple[str, str, dict[str, str]]:
 
 
 def to_ascii(c: Column) -> Column:
-    """Latin letters without marks, Indic scripts by sound, other characters gone. Null is empty."""
+    """Latin letters without marks, Cyrillic, Greek, Arabic and Indic scripts by sound, other characters gone. Null is empty."""
     singles, values, more = _tables()
-    out = F.translate(F.coalesce(c.cast("string"), F.lit("")), singles, values)
+    given = F.coalesce(c.cast("string"), F.lit(""))
+    out = F.translate(given, singles, values)
     for k, v in more.items():
         out = F.replace(out, F.lit(k), F.lit(v))
-    return F.regexp_replace(out, r"[^\x00-\x7F]", "")
+    return F.when(F.length(given) == F.octet_length(given), given).otherwise(F.regexp_replace(out, r"[^\x00-\x7F]", ""))
 
 
 def collapse(c: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from kinweave.functions import fuzzy, text
 from kinweave.operators import retrieval
 
+# The features and their order.
 NATIVE = ("exact_country_match", "first_word_match", "prefix_match", "name_length_diff", "address_length_diff", "numeric_overlap", "jaccard_token_similarity", "name_bigram_jaccard", "name_trigram_dice", "postal_code_match")
 STRING = fuzzy.FIELDS[:10] + NATIVE
 SKELETON = fuzzy.FIELDS[10:]

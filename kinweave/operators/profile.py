@@ -48,12 +48,14 @@ def _markdown(df: DataFrame) -> str:
     return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *[line(r) for r in rows]])
 
 
-def report(tables: dict[str, DataFrame], path: str | None = None) -> str:
+def report(tables: dict[str, DataFrame], path: str | None = None, n_samples: int = 5) -> str:
+    """Markdown; path: a file beside the driver to write it to as well."""
     parts = ["# Data profile", "## Tables", _markdown(dataset_summary(tables))]
     for name, df in tables.items():
         parts += [f"## {name}", "### Missing values", _markdown(missing_values(df)), "### Duplicates", _markdown(duplicates(df))]
         if "country" in df.columns:
             parts += ["### Countries", _markdown(country_distribution({name: df}))]
+        parts += ["### Sample", _markdown(sample_records(df, n_samples, df.columns[0]))]
     text = "\n\n".join(parts) + "\n"
     if path:
         with open(path, "w", encoding="utf-8") as f:

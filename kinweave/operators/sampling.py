@@ -30,7 +30,7 @@ def attach_labels(features: DataFrame, truth_long: DataFrame) -> DataFrame:
 
 
 def owners(truth_long: DataFrame, s1: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """owner of each target (null: none), and true_count of each reference row, which counts unknown targets too."""
+    """owner of each target (null: none; the largest id where the truth names several), and true_count of each reference row, which counts unknown targets too."""
     known = truth_long.join(s1.select(F.col("entity_id").alias("source1_entity_id")), "source1_entity_id", "left_semi")
     one = known.groupBy("candidate_entity_id").agg(F.max("source1_entity_id").alias("owner"))
     owner = targets.select(F.col("entity_id").alias("tgt")).join(one, F.col("tgt") == F.col("candidate_entity_id"), "left").select("tgt", "owner")
@@ -65,11 +65,27 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return pairs.select("source1_entity_id").distinct()
 
 
+PARTS = 1 << 16
+
+
+def first_in_order(ids: DataFrame, column: str, n: int, seed: int) -> DataFrame:
+    """The first n distinct ids in the order of their keys. A histogram of the keys finds the part that the cut lies in, and only
+    that part is ranked."""
+    keyed = ids.select(column, order_key(seed, F.col(column)).alias("key")).withColumn("part", F.floor(F.col("key") / (1 << 32) * PARTS).cast("int"))
+    w = Window.partitionBy(F.lit(1)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy("part").agg(F.count(F.lit(1)).alias("c"))  # PARTS rows at most
+    before = F.broadcast(counts.select("part", "c", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("before")))
+    near = keyed.join(before.where(F.col("before") < n), "part")
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("key", column))
+    whole = near.where(F.col("before") + F.col("c") <= n).select(column)
+    return whole.unionByName(near.where(F.col("before") + F.col("c") > n).withColumn("r", rank).where(F.col("before") + F.col("r") <= n).select(column))
+
+
 def split(pairs: DataFrame, fraction: float = 0.2, seed: int = 42) -> DataFrame:
     """is_validation of every row; by entity, with exactly round(n x fraction) entities held out."""
     ids = _ids(pairs)
     n = round(ids.count() * fraction)
-    held = ids.orderBy(order_key(seed, F.col("source1_entity_id")), "source1_entity_id").limit(n).withColumn("is_validation", F.lit(True))
+    held = first_in_order(ids, "source1_entity_id", n, seed).withColumn("is_validation", F.lit(True))
     return pairs.join(held, "source1_entity_id", "left").withColumn("is_validation", F.coalesce("is_validation", F.lit(False)))
 
 

@@ -48,9 +48,11 @@ def messages(results: DataFrame, candidates: DataFrame, ids: DataFrame) -> list[
 
 
 def raw_file(spark: SparkSession, path: str, header: tuple[str, ...]) -> DataFrame:
-    """Tab counts and the header of a file as it is: check, n_bad; blank lines don't count."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    """Tab counts and the first line of one file as it is: check, n_bad; blank lines don't count for tabs."""
+    every = spark.read.text(path)
+    lines = every.where(F.trim("value") != "")
     tabs = F.length("value") - F.length(F.replace("value", F.lit("\t"), F.lit("")))
     bad = lines.where(tabs != len(header) - 1).agg(F.count(F.lit(1)).alias("n_bad")).select(F.lit("tabs").alias("check"), "n_bad")
-    heads = lines.where(F.col("value") == "\t".join(header)).agg(F.count(F.lit(1)).alias("n")).select(F.lit("header").alias("check"), (F.lit(1) - F.least("n", F.lit(1))).alias("n_bad"))
+    first = every.limit(1).where(F.col("value") == "\t".join(header))
+    heads = first.agg((F.lit(1) - F.count(F.lit(1))).alias("n_bad")).select(F.lit("header").alias("check"), "n_bad")
     return bad.unionByName(heads)

@@ -13,6 +13,7 @@ from kinweave.operators.prepare import add_clean_columns, add_skeleton
 from kinweave.plans import oracle, pipelines
 from kinweave.plans.oracle import CAP, NAME_MAX_DF, f05, sql
 from kinweave.sources import delimited, fixtures
+from kinweave.sources.scratch import settled, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -20,9 +21,17 @@ _SQL: dict[str, str] = {}
 ENTITY, OTHER, PROB = decision.ENTITY, decision.OTHER, decision.PROB
 
 
+#: What a query's steps share; emptied when the next query starts.
+_SHARED: dict[str, DataFrame] = {}
+
+
 def query(statement: str | None = None):
     def keep(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            _SHARED.clear()
+            return f(spark, d)
+
+        _QUERIES[f.__name__] = run
         if statement is not None:
             _SQL[f.__name__] = statement
         return f
@@ -34,7 +43,10 @@ def query(statement: str | None = None):
 
 
 def records(spark, d) -> DataFrame:
-    return add_skeleton(add_clean_columns(fixtures.directory(spark, d), ascii_input=True))
+    """Cleaned once a query."""
+    if "records" not in _SHARED:
+        _SHARED["records"] = settled(add_skeleton(add_clean_columns(fixtures.directory(spark, d), ascii_input=True)), "records")
+    return _SHARED["records"]
 
 
 def sides(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -52,16 +64,12 @@ def truth_lists(spark, d) -> DataFrame:
     return decision.group_ids(truth(spark, d), ids)
 
 
-def slice_rules() -> list[blocking.Rule]:
-    return [r for r in blocking.default_rules(CAP) if r.name in oracle.SLICE_RULES]
-
-
-def slice_pairs(spark, d) -> DataFrame:
-    return blocking.candidate_pairs(*sides(spark, d), slice_rules())
+def blocked(spark, d) -> DataFrame:
+    return blocking.candidate_pairs(*sides(spark, d), blocking.default_rules(CAP))
 
 
 def texts(spark, d) -> DataFrame:
-    return features.with_texts(slice_pairs(spark, d), *sides(spark, d))
+    return features.with_texts(blocked(spark, d), *sides(spark, d))
 
 
 def scored(spark, d) -> DataFrame:
@@ -79,7 +87,7 @@ def ids(spark, d) -> DataFrame:
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return linkage_f05(spark, d)
+    return queries()["linkage_f05"](spark, d)
 
 
 # sources
@@ -90,38 +98,29 @@ def split_loader(spark, d):
     return sides(spark, d)[1].drop("owner_k")
 
 
-@query()
+@query(sql("select entity_id, business_name, business_address, country from d where source = 'S2'", "d"))
 def tsv_round_trip(spark, d):
     """Written as TSV to the shared folder and read back with missing-value tokens."""
     own = fixtures.directory(spark, d).where("source = 'S2'").select(*delimited.SOURCE_COLUMNS)
-    path = _shared(spark, "tsv")
+    path = shared_path(spark, "tsv")
     delimited.write_tsv(own, path)
     return delimited.read_tsv(spark, path)
 
 
-@query(sql("select source1_entity_id, candidate_entity_id, source from pairs_slice", "pairs_slice"))
+@query(sql("select source1_entity_id, candidate_entity_id, source from pairs", "pairs"))
 def pair_scan(spark, d):
-    path = _shared(spark, "pairs")
-    slice_pairs(spark, d).write.mode("overwrite").parquet(path)
+    path = shared_path(spark, "pairs")
+    blocked(spark, d).write.mode("overwrite").parquet(path)
     return delimited.read_pairs(spark, path)
 
 
-@query(sql("select source, count(*) as n from pairs_slice group by 1", "pairs_slice"))
+@query(sql("select source, count(*) as n from pairs group by 1", "pairs"))
 def parquet_round_trip(spark, d):
-    path = _shared(spark, "round")
-    slice_pairs(spark, d).write.mode("overwrite").parquet(path)
+    path = shared_path(spark, "round")
+    blocked(spark, d).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path).select("source").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _shared(spark, name: str) -> str:
-    """A new path in the folder that the cluster shares, or a temporary one where none is set."""
-    import tempfile
-    import uuid
-
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="kinweave-")
-    return f"{root.rstrip('/')}/kinweave-{name}-{uuid.uuid4().hex}"
-
-
 # text
 
 
@@ -152,7 +151,7 @@ def clean_text_variant(spark, d):
     return fixtures.directory(spark, d).select("entity_id", text.clean_text_v0(F.col("business_name")).alias("cleaned"))
 
 
-@query()
+@query(sql(f"select entity_id, ascii_name, {oracle.normalize('ascii_name', legal=True)} as name_clean from (select entity_id, {oracle.to_ascii('business_name')} as ascii_name from noisy) x", "noisy"))
 def transliterate(spark, d):
     return fixtures.noisy_documents(spark, d).select("entity_id", text.to_ascii(F.col("business_name")).alias("ascii_name"), text.normalize_name(F.col("business_name")).alias("name_clean"))
 
@@ -173,24 +172,24 @@ def phonetic_keys(spark, d):
 @query(sql("select rule, key, entity_id from idx where source = 'S1' and rule = 'country_name_firstword'", "idx"))
 def block_index(spark, d):
     rule = next(r for r in blocking.default_rules(CAP) if r.name == "country_name_firstword")
-    return blocking.rule_index(sides(spark, d)[0], rule)
+    return blocking.index(sides(spark, d)[0], [rule])
 
 
 @query(sql("select rule, key, entity_id from idx where source = 'S2' and rule = 'name_token'", "idx"))
 def token_index(spark, d):
     rule = next(r for r in blocking.default_rules(CAP) if r.name == "name_token")
-    return blocking.rule_index(records(spark, d).where("source = 'S2'"), rule)
+    return blocking.index(records(spark, d).where("source = 'S2'"), [rule])
 
 
 @query(sql("select rule, key, entity_id from idx where source = 'S1' and rule = 'address_numeric_token'", "idx"))
 def numeric_index(spark, d):
     rule = next(r for r in blocking.default_rules(CAP) if r.name == "address_numeric_token")
-    return blocking.rule_index(sides(spark, d)[0], rule)
+    return blocking.index(sides(spark, d)[0], [rule])
 
 
 @query(sql("select distinct entity_id from idx where source = 'S1' and key in ('10007', '10021', '10100')", "idx"))
 def index_lookup(spark, d):
-    return blocking.candidate_ids(blocking.source_index(sides(spark, d)[0], blocking.default_rules(CAP)), ["10007", "10021", "10100"])
+    return blocking.candidate_ids(blocking.index(sides(spark, d)[0], blocking.default_rules(CAP)), ["10007", "10021", "10100"])
 
 
 @query(sql("select source1_entity_id, candidate_entity_id, source, '' as rules_matched from pairs", "pairs"))
@@ -198,14 +197,14 @@ def candidate_pairs(spark, d):
     return blocking.candidate_pairs(*sides(spark, d), blocking.default_rules(CAP)).select(ENTITY, OTHER, "source", "rules_matched")
 
 
-@query(sql("select n_pairs, round(n_pairs::double / n_s1, 6) as avg_per_entity, n_s1 * n_targets as full_pairs, round(1 - n_pairs::double / (n_s1 * n_targets), 9) as reduction_ratio from (select count(*) as n_pairs from pairs_slice) a, (select count(*) as n_s1 from s1) b, (select count(*) as n_targets from tg) c", "pairs_slice", "s1", "tg"))
+@query(sql("select n_pairs, round(n_pairs::double / n_s1, 6) as avg_per_entity, n_s1 * n_targets as full_pairs, round(1 - n_pairs::double / (n_s1 * n_targets), 9) as reduction_ratio from (select count(*) as n_pairs from pairs) a, (select count(*) as n_s1 from s1) b, (select count(*) as n_targets from tg) c", "pairs", "s1", "tg"))
 def blocking_stats(spark, d):
-    return blocking.blocking_stats(slice_pairs(spark, d), *sides(spark, d))
+    return blocking.blocking_stats(blocked(spark, d), *sides(spark, d))
 
 
-@query(sql("select count(*) as n_true, count(p.source) as n_hit, round(count(p.source)::double / count(*), 6) as recall from truth t left join pairs_slice p using (source1_entity_id, candidate_entity_id)", "truth", "pairs_slice"))
+@query(sql("select count(*) as n_true, count(p.source) as n_hit, round(count(p.source)::double / count(*), 6) as recall from truth t left join pairs p using (source1_entity_id, candidate_entity_id)", "truth", "pairs"))
 def blocking_recall(spark, d):
-    return blocking.blocking_recall(slice_pairs(spark, d), truth(spark, d), sample_size=None)
+    return blocking.blocking_recall(blocked(spark, d), truth(spark, d), sample_size=None)
 
 
 # retrieval
@@ -223,15 +222,17 @@ def tfidf_char_weights(spark, d):
     return w.withColumn("w", F.round("w", 6))
 
 
-@query(sql("select tgt, s1, cos from w_top join w_c using (tgt, s1)", "w_top", "w_c"))
+@query(sql("select tgt, s1, cos from (select *, row_number() over (partition by tgt order by cos desc, s1) as r from w_c) x where r <= 10", "w_c"))
 def top_k_join(spark, d):
-    word = retrieval.cosines(*retrieval.weights(*sides(spark, d), retrieval.word_terms(F.concat_ws(" ", "name_clean", "address_clean")), 5000))
-    return retrieval.top_k(word, 10).select("tgt", "s1", "cos")
+    return retrieval.top_cosines(*_words(spark, d), 10)
+
+
+def _words(spark, d):
+    return retrieval.weights(*sides(spark, d), retrieval.word_terms(F.concat_ws(" ", "name_clean", "address_clean")), 5000)
 
 
 def _both(spark, d) -> DataFrame:
-    word, name = retrieval.channels(*sides(spark, d), 5000, NAME_MAX_DF, "char")
-    return retrieval.union_channels(word, name, 10, 10)
+    return retrieval.union_channels(*retrieval.channels(*sides(spark, d), 5000, NAME_MAX_DF, "char"), 10, 10)
 
 
 @query(sql("select * from bth", "bth"))
@@ -242,9 +243,8 @@ def channel_union(spark, d):
 @query(sql("select t.tgt, t.s1, coalesce(n_c.cos, 0.0) as cos from w_top t left join n_c using (tgt, s1)", "w_top", "n_c"))
 def pair_cosines(spark, d):
     """The name channel's exact cosine of the word channel's pairs."""
-    s1, tg = sides(spark, d)
-    word = retrieval.cosines(*retrieval.weights(s1, tg, retrieval.word_terms(F.concat_ws(" ", "name_clean", "address_clean")), 5000))
-    return retrieval.pair_cosines(retrieval.top_k(word, 10), *retrieval.weights(s1, tg, retrieval.char_terms(F.col("name_clean"), 3, 5), NAME_MAX_DF, 2))
+    grams = retrieval.weights(*sides(spark, d), retrieval.char_terms(F.col("name_clean"), 3, 5), NAME_MAX_DF, 2)
+    return retrieval.pair_cosines(retrieval.top_cosines(*_words(spark, d), 10), *grams)
 
 
 _RF = "select tgt, s1, cos, cos_name, in_combined_retrieval, in_name_retrieval, row_number() over (partition by tgt order by cos desc, s1) - 1 as rank, round(max(cos) over (partition by tgt) - cos, 9) as gap_to_top1, round(cos - coalesce(lead(cos) over (partition by tgt order by cos desc, s1), 0.0), 9) as margin_to_next, count(*) over (partition by tgt) as n_cands, row_number() over (partition by tgt order by cos_name desc, s1) - 1 as name_rank, round(max(cos_name) over (partition by tgt) - cos_name, 9) as name_gap_to_top1, in_combined_retrieval * in_name_retrieval as both_channels_retrieved from bth"
@@ -287,7 +287,7 @@ def pair_features_fuzzy(spark, d):
 
 @query()
 def pair_features_all(spark, d):
-    return features.pair_features(slice_pairs(spark, d), *sides(spark, d))
+    return features.pair_features(blocked(spark, d), *sides(spark, d))
 
 
 @query(sql("select source1_entity_id, candidate_entity_id, r as rank_within_entity, (r = 1)::int as is_top1_for_entity, round(case when r = 1 then match_probability - coalesce(n, 0.0) else 0.0 end, 6) as score_margin_to_next from (select *, row_number() over w as r, lead(match_probability) over w as n from scored window w as (partition by source1_entity_id order by match_probability desc, candidate_entity_id)) x", "scored"))
@@ -339,23 +339,23 @@ def candidate_labels(spark, d):
     return sampling.label_candidates(_both(spark, d), owner).select("tgt", "s1", "label")
 
 
-@query(sql("select source1_entity_id, candidate_entity_id, source from pairs_slice p where not exists (select 1 from truth t where t.source1_entity_id = p.source1_entity_id and t.candidate_entity_id = p.candidate_entity_id)", "pairs_slice", "truth"))
+@query(sql("select source1_entity_id, candidate_entity_id, source from pairs p where not exists (select 1 from truth t where t.source1_entity_id = p.source1_entity_id and t.candidate_entity_id = p.candidate_entity_id)", "pairs", "truth"))
 def not_matches(spark, d):
-    return sampling.not_in(slice_pairs(spark, d).select(ENTITY, OTHER, "source"), truth(spark, d))
+    return sampling.not_in(blocked(spark, d).select(ENTITY, OTHER, "source"), truth(spark, d))
 
 
 _KEY = oracle.key_of(42, "source1_entity_id", "candidate_entity_id")
-_NEG = f"select source1_entity_id, candidate_entity_id, source, 0 as label from (select p.*, row_number() over (partition by source1_entity_id order by {_KEY}, candidate_entity_id) as r from pairs_slice p where not exists (select 1 from truth t where t.source1_entity_id = p.source1_entity_id and t.candidate_entity_id = p.candidate_entity_id)) x left join (select source1_entity_id, count(*) * 6 as quota from truth group by 1) q using (source1_entity_id) where r <= coalesce(quota, 6)"
+_NEG = f"select source1_entity_id, candidate_entity_id, source, 0 as label from (select p.*, row_number() over (partition by source1_entity_id order by {_KEY}, candidate_entity_id) as r from pairs p where not exists (select 1 from truth t where t.source1_entity_id = p.source1_entity_id and t.candidate_entity_id = p.candidate_entity_id)) x left join (select source1_entity_id, count(*) * 6 as quota from truth group by 1) q using (source1_entity_id) where r <= coalesce(quota, 6)"
 
 
-@query(sql(_NEG, "pairs_slice", "truth"))
+@query(sql(_NEG, "pairs", "truth"))
 def hard_negatives(spark, d):
-    return sampling.hard_negatives(slice_pairs(spark, d), sampling.positive_pairs(truth_lists(spark, d)))
+    return sampling.hard_negatives(blocked(spark, d), sampling.positive_pairs(truth_lists(spark, d)))
 
 
-@query(sql(f"select source1_entity_id, candidate_entity_id, source, 1 as label from truth union all {_NEG}", "pairs_slice", "truth"))
+@query(sql(f"select source1_entity_id, candidate_entity_id, source, 1 as label from truth union all {_NEG}", "pairs", "truth"))
 def labeled_pairs(spark, d):
-    return sampling.labeled_pairs(slice_pairs(spark, d), truth_lists(spark, d))
+    return sampling.labeled_pairs(blocked(spark, d), truth_lists(spark, d))
 
 
 _ENT = oracle.key_of(42, "source1_entity_id")
@@ -371,15 +371,15 @@ _LAB = f"select source1_entity_id, candidate_entity_id, source, 1 as label from
 
 
 def _lab(spark, d) -> DataFrame:
-    return sampling.labeled_pairs(slice_pairs(spark, d), truth_lists(spark, d))
+    return sampling.labeled_pairs(blocked(spark, d), truth_lists(spark, d))
 
 
-@query(sql(_STRATA.replace(" lab ", f" ({_LAB}) l "), "pairs_slice", "truth", "s1"))
+@query(sql(_STRATA.replace(" lab ", f" ({_LAB}) l "), "pairs", "truth", "s1"))
 def entity_strata(spark, d):
     return sampling.strata(_lab(spark, d), sides(spark, d)[0])
 
 
-@query(sql(f"select source1_entity_id, r <= floor(n * 0.2 + 0.5) as is_validation from (select source1_entity_id, row_number() over (partition by stratum order by {_ENT}, source1_entity_id) as r, count(*) over (partition by stratum) as n from (select source1_entity_id, case when count(*) over (partition by stratum) = 1 then 'OTHER' else stratum end as stratum from ({_STRATA.replace(' lab ', f' ({_LAB}) l ')}) a) b) c", "pairs_slice", "truth", "s1"))
+@query(sql(f"select source1_entity_id, r <= floor(n * 0.2 + 0.5) as is_validation from (select source1_entity_id, row_number() over (partition by stratum order by {_ENT}, source1_entity_id) as r, count(*) over (partition by stratum) as n from (select source1_entity_id, case when count(*) over (partition by stratum) = 1 then 'OTHER' else stratum end as stratum from ({_STRATA.replace(' lab ', f' ({_LAB}) l ')}) a) b) c", "pairs", "truth", "s1"))
 def stratified_split(spark, d):
     return sampling.stratified_split(_lab(spark, d), sides(spark, d)[0]).select(ENTITY, "is_validation").distinct()
 
@@ -458,9 +458,9 @@ def sole_guard(spark, d):
 _LISTS = "select e.entity_id as source1_entity_id, coalesce(string_agg(p.candidate_entity_id, ',' order by p.candidate_entity_id), '') as {n} from (select entity_id from d where source = 'S1') e left join ({p}) p on p.source1_entity_id = e.entity_id group by 1"
 
 
-@query(sql(_LISTS.format(n="candidate_entity_ids", p="select * from pairs_slice"), "pairs_slice", "d"))
+@query(sql(_LISTS.format(n="candidate_entity_ids", p="select * from pairs"), "pairs", "d"))
 def submission(spark, d):
-    return decision.submission(slice_pairs(spark, d), sides(spark, d)[0])
+    return decision.submission(blocked(spark, d), sides(spark, d)[0])
 
 
 @query(sql(_LISTS.format(n="matched_entity_ids", p="select * from best where match_probability >= 0.5"), "best", "d"))
@@ -591,12 +591,12 @@ def sample_records(spark, d):
     return profile.sample_records(_tables(spark, d)["S1"], 10, "entity_id")
 
 
-@query(sql("select 'missing_ids' as \"check\", count(*) as n_bad from d where source = 'S1' and owner_k % 10 = 0 union all select 'extra_ids', 1 union all select 'duplicate_rows', 0 union all select 'duplicate_ids_in_row', 0 union all select 'unsorted_ids_in_row', 0 union all select 'not_among_candidates', count(distinct t.source1_entity_id) from truth t left join pairs_slice p using (source1_entity_id, candidate_entity_id) where p.source is null and substr(t.source1_entity_id, 4)::int % 10 <> 0", "d", "truth", "pairs_slice"))
+@query(sql("select 'missing_ids' as \"check\", count(*) as n_bad from d where source = 'S1' and owner_k % 10 = 0 union all select 'extra_ids', 1 union all select 'duplicate_rows', 0 union all select 'duplicate_ids_in_row', 0 union all select 'unsorted_ids_in_row', 0 union all select 'not_among_candidates', count(distinct t.source1_entity_id) from truth t left join pairs p using (source1_entity_id, candidate_entity_id) where p.source is null and substr(t.source1_entity_id, 4)::int % 10 <> 0", "d", "truth", "pairs"))
 def validate_results(spark, d):
     """The truth as results, with a tenth of the entities left out and one unknown added, against blocked candidates."""
     lists = truth_lists(spark, d).where(F.substring(ENTITY, 4, 20).cast("int") % 10 != 0)
     unknown = spark.createDataFrame([("S1-x", "")], f"{ENTITY} string, matched_entity_ids string")
-    return validate.checks(lists.unionByName(unknown), decision.submission(slice_pairs(spark, d), sides(spark, d)[0]), ids(spark, d))
+    return validate.checks(lists.unionByName(unknown), decision.submission(blocked(spark, d), sides(spark, d)[0]), ids(spark, d))
 
 
 # whole workflows
@@ -608,7 +608,7 @@ def pairwise_inference(spark, d):
     s1, tg = sides(spark, d)
     train = _training(spark, d)
     model = models.train_trees(train, features.NATIVE, rounds=5, depth=3)
-    results, _ = pipelines.run_inference(s1, tg, lambda x: models.predict(model, x), 0.5, 0.5, slice_rules())
+    results, _ = pipelines.run_inference(s1, tg, lambda x: models.predict(model, x), 0.5, 0.5, blocking.default_rules(CAP))
     return results
 
 

@@ -27,6 +27,14 @@ def normalize(x: str, legal: bool = False, streets: bool = False) -> str:
     return collapse(out)
 
 
+def to_ascii(x: str) -> str:
+    """Of Latin text."""
+    out = f"strip_accents(coalesce({x}, ''))"
+    for k, v in text.LATIN.items():
+        out = f"replace({out}, '{k}', '{v}')"
+    return sub(out, r"[^\x00-\x7F]", "")
+
+
 def skeleton(x: str) -> str:
     for pattern, to in (("x", "ks"), ("([pbktdscg])h", r"\1"), ("c([eiy])", r"s\1"), ("g([eiy])", r"j\1"), ("[cqg]", "k"), ("f", "p"), ("[vw]", "b"), ("d", "t"), ("[zj]", "s"), ("m", "n"), ("[aeiouyh]", "")):
         x = sub(x, pattern, to)
@@ -86,7 +94,6 @@ def _index(rules) -> str:
 
 
 ALL_RULES = ("country_name_prefix6", "country_name_firstword", "country_address_prefix16", "name_token", "address_numeric_token", "country_name_lastword")
-SLICE_RULES = ("country_name_firstword", "country_name_lastword", "address_numeric_token")
 _PAIRS = "select distinct a.entity_id as source1_entity_id, b.entity_id as candidate_entity_id, b.source from {i} a join {i} b on a.source = 'S1' and b.source <> 'S1' and a.rule = b.rule and a.key = b.key join (select x.rule, x.key, y.source from (select rule, key, count(*) as n from {i} where source = 'S1' group by 1, 2) x join (select source, rule, key, count(*) as n from {i} where source <> 'S1' group by 1, 2, 3) y on x.rule = y.rule and x.key = y.key and x.n * y.n <= 50000) g on g.rule = b.rule and g.key = b.key and g.source = b.source"
 
 
@@ -115,10 +122,8 @@ TABLES: dict[str, str] = dict([
     ("truth", "select 'S1-' || owner_k::varchar as source1_entity_id, entity_id as candidate_entity_id, source from d where source <> 'S1' and owner_k <> -1"),
     ("truth_lists", "select s.entity_id as source1_entity_id, coalesce(string_agg(t.candidate_entity_id, ',' order by t.candidate_entity_id), '') as matched_entity_ids from (select entity_id from d where source = 'S1') s left join truth t on t.source1_entity_id = s.entity_id group by 1"),
     ("idx", _index(ALL_RULES)),
-    ("idx_slice", _index(SLICE_RULES)),
     ("pairs", _PAIRS.format(i="idx")),
-    ("pairs_slice", _PAIRS.format(i="idx_slice")),
-    ("texts", "select p.*, a.name_clean as name1, a.address_clean as address1, a.country as country1, b.name_clean as name2, b.address_clean as address2, b.country as country2 from pairs_slice p join s1 a on a.entity_id = p.source1_entity_id join tg b on b.entity_id = p.candidate_entity_id"),
+    ("texts", "select p.*, a.name_clean as name1, a.address_clean as address1, a.country as country1, b.name_clean as name2, b.address_clean as address2, b.country as country2 from pairs p join s1 a on a.entity_id = p.source1_entity_id join tg b on b.entity_id = p.candidate_entity_id"),
     ("scored", f"select source1_entity_id, candidate_entity_id, {score('name1', 'name2', 'address1', 'address2')} as match_probability from texts"),
     ("best", "select candidate_entity_id, source1_entity_id, match_probability from (select *, row_number() over (partition by candidate_entity_id order by match_probability desc, source1_entity_id) as r from scored) x where r = 1"),
     *_tfidf("w", r"regexp_extract_all(name_clean || ' ' || address_clean, '\w+')", 1, "5000"),
@@ -126,9 +131,10 @@ TABLES: dict[str, str] = dict([
     ("w_top", "select tgt, s1 from (select *, row_number() over (partition by tgt order by cos desc, s1) as r from w_c) x where r <= 10"),
     ("n_top", "select tgt, s1 from (select *, row_number() over (partition by tgt order by cos desc, s1) as r from n_c) x where r <= 10"),
     ("bth", "select tgt, s1, coalesce(w_c.cos, 0.0) as cos, coalesce(n_c.cos, 0.0) as cos_name, coalesce(a.f, 0)::int as in_combined_retrieval, coalesce(b.f, 0)::int as in_name_retrieval from (select tgt, s1 from w_top union select tgt, s1 from n_top) u left join (select tgt, s1, 1 as f from w_top) a using (tgt, s1) left join (select tgt, s1, 1 as f from n_top) b using (tgt, s1) left join w_c using (tgt, s1) left join n_c using (tgt, s1)"),
+    ("noisy", r"select doc_id::varchar as entity_id, array_to_string((list_filter(regexp_split_to_array(lower(text), '\s+'), lambda t: t <> ''))[1:6], ' ') as business_name from documents"),
     ("n_true", "select e.entity_id as source1_entity_id, count(t.candidate_entity_id) as n_true from (select entity_id from d where source = 'S1') e left join truth t on t.source1_entity_id = e.entity_id group by 1"),
 ])
-NEEDS = {"d": "p", "c": "d", "k": "c", "s1": "k", "tg": "k", "truth": "d", "truth_lists": "truth d", "idx": "c", "idx_slice": "c", "pairs": "idx", "pairs_slice": "idx_slice", "texts": "pairs_slice s1 tg", "scored": "texts", "best": "scored", "w_t": "k", "w_i": "w_t c", "w_w": "w_i w_t", "w_c": "w_w", "n_t": "k", "n_i": "n_t c", "n_w": "n_i n_t", "n_c": "n_w", "w_top": "w_c", "n_top": "n_c", "bth": "w_top n_top", "n_true": "truth d"}
+NEEDS = {"d": "p", "c": "d", "k": "c", "s1": "k", "tg": "k", "truth": "d", "truth_lists": "truth d", "idx": "c", "pairs": "idx", "texts": "pairs s1 tg", "scored": "texts", "best": "scored", "w_t": "k", "w_i": "w_t c", "w_w": "w_i w_t", "w_c": "w_w", "n_t": "k", "n_i": "n_t c", "n_w": "n_i n_t", "n_c": "n_w", "w_top": "w_c", "n_top": "n_c", "bth": "w_top n_top", "n_true": "truth d"}
 
 
 def sql(body: str, *needs: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinweave.operators import blocking, decision, features, metrics, models, retrieval, sampling, validate
 from kinweave.operators.prepare import ensure_clean_columns, load_split
+from kinweave.sources.scratch import settled
 
 ENTITY, OTHER, PROB = decision.ENTITY, decision.OTHER, decision.PROB
 
@@ -59,11 +60,16 @@ def train_assignment(records: DataFrame, truth_long: DataFrame, s: Settings, rou
     return tuned, {"a": (a, w), "b": (b, 1 - w)}, {"macro_f05": score, "ceiling": ceiling}
 
 
-def predict_assignment(records: DataFrame, score, s: Settings, threshold: float | None = None, **kw) -> DataFrame:
-    """One row an entity of S1 with its ids. A threshold given here turns off countries' thresholds and the lone-match guard."""
+def best_owners(records: DataFrame, score, s: Settings, **kw) -> tuple[DataFrame, DataFrame]:
+    """Each target's best reference row with its probability, and the reference table."""
     s1, targets = load_split(records, **kw)
     candidates = retrieval.retrieve(s1, targets, s.k, s.max_df, s.k_name, s.name_max_df, s.name_channel)
-    best_pairs = decision.assign(as_pairs(score(features.feature_matrix(candidates, s1, targets))))
+    return decision.assign(as_pairs(score(features.feature_matrix(candidates, s1, targets)))), s1
+
+
+def predict_assignment(records: DataFrame, score, s: Settings, threshold: float | None = None, **kw) -> DataFrame:
+    """One row an entity of S1 with its ids. A threshold given here turns off countries' thresholds and the lone-match guard."""
+    best_pairs, s1 = best_owners(records, score, s, **kw)
     if threshold is not None:
         kept = decision.threshold(best_pairs, threshold)
     else:
@@ -91,14 +97,34 @@ def training_pairs(s1: DataFrame, targets: DataFrame, truth: DataFrame, rules=No
 def run_inference(s1: DataFrame, targets: DataFrame, score, singleton: float, match: float, rules=None, **kw) -> tuple[DataFrame, DataFrame]:
     """v1: matching results, and the candidates as they were before any threshold."""
     s1, targets = ensure_clean_columns(s1, **kw), ensure_clean_columns(targets, **kw)
-    pairs = blocking.candidate_pairs(s1, targets, rules)
+    pairs = settled(blocking.candidate_pairs(s1, targets, rules), "pairs")
     candidates = decision.submission(pairs, s1)
-    scored = score(features.pair_features(pairs, s1, targets))
+    scored = score_pairs(pairs, s1, targets, score)
     results = decision.group_predictions(scored, s1, singleton, match)
     validate.require_valid(results, candidates, s1.select(F.col("entity_id").alias(ENTITY)))
     return results, candidates
 
 
+def score_pairs(pairs: DataFrame, s1: DataFrame, targets: DataFrame, score, keep=None, **kw) -> DataFrame:
+    """Pairs with match_probability; keep: a condition on the scored rows. No pairs give a typed table without rows."""
+    s1, targets = ensure_clean_columns(s1, **kw), ensure_clean_columns(targets, **kw)
+    scored = score(features.pair_features(pairs, s1, targets)).select(ENTITY, OTHER, PROB)
+    return scored if keep is None else scored.where(keep)
+
+
+def tune_on_entities(scored: DataFrame, truth: DataFrame, ids: DataFrame, singleton: list[float] = metrics.DUAL, match: list[float] = metrics.DUAL) -> dict[str, float]:
+    """The dual thresholds that score best over the given entities; among equal ones the lowest."""
+    top = metrics.best(metrics.dual_grid(scored, truth, ids, singleton, match), by=("ts", "tm")).first()
+    return {"singleton": top["ts"], "match": top["tm"], "macro_f05": top["macro_f05"]}
+
+
+def tune_from_pool(s1: DataFrame, targets: DataFrame, truth: DataFrame, score, rules=None, **kw) -> dict[str, float]:
+    """Clean, block, score and tune over all entities, on the whole candidate pool."""
+    s1, targets = ensure_clean_columns(s1, **kw), ensure_clean_columns(targets, **kw)
+    scored = score_pairs(blocking.candidate_pairs(s1, targets, rules), s1, targets, score)
+    return tune_on_entities(settled(scored, "scored"), truth, s1.select(F.col("entity_id").alias(ENTITY)))
+
+
 def resolve_threshold(given: float | None, dual: dict | None, single: dict | None, key: str) -> float:
     """The command line's value, else the dual search's, else the single one's; each threshold by itself."""
     for value in (given, (dual or {}).get(key), (single or {}).get("threshold")):

@@ -30,6 +30,11 @@ def write_tsv(df: DataFrame, path: str, single: bool = False) -> None:
     (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, sep="\t", header=True, quote='"', escape='"', emptyValue="", nullValue="")
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """One file with a header, for small results such as curves."""
+    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -5,7 +5,7 @@ import os
 import pytest
 
 D = "/root/testdata/sf0.001"
-NAMES = ["clean_columns", "name_skeleton", "token_functions", "blocking_keys", "candidate_pairs", "channel_union", "retrieval_features", "pair_features_native", "hard_negatives", "sole_guard", "linkage_f05", "threshold_curve", "guard_grid", "validate_results"]
+NAMES = ["clean_columns", "name_skeleton", "token_functions", "blocking_keys", "candidate_pairs", "channel_union", "retrieval_features", "pair_features_native", "top_k_join", "pair_cosines", "class_threshold_curve", "country_threshold_curve", "dual_threshold_grid", "pr_curve", "precision_recall_ap", "entity_split", "hard_negatives", "sole_guard", "linkage_f05", "threshold_curve", "guard_grid", "validate_results"]
 
 
 @pytest.mark.skipif(not os.path.isdir(D), reason="the driver's tables are not here")
@@ -43,7 +43,8 @@ def test_whole_workflows_have_the_default_candidates(spark, monkeypatch):
     s1, tg = catalog.sides(spark, D)
     pairs = lambda df: {(r["tgt"], r["s1"]) for r in df.select("tgt", "s1").collect()}
     word, name = retrieval.channels(s1, tg, 5000, catalog.NAME_MAX_DF, "skeleton")
-    assert pairs(catalog.queries()["feature_matrix"](spark, D)) == pairs(retrieval.union_channels(word, name, 10, 10))
+    want = pairs(retrieval.union_channels(word, name, 10, 10))
+    assert pairs(catalog.queries()["feature_matrix"](spark, D)) == want
 
     class Seen(Exception):
         pass
