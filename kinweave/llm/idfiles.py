@@ -3,18 +3,18 @@
 Texts are encoded by a public tokenizer and written in ascending id order: files cover ranges of doc_id, and a file's rows are
 segments of whole documents, each bytes in this format (little-endian):
 
-  "KWT1", u32 documents, u32 ids, u32 blocks, u32 crc32 of all ids (u32 each),
+  "KWT2", u32 documents, u32 ids, u32 blocks, u32 crc32 of all ids (u32 each), u32 crc32 of these fields and of the next two lines,
   i64 doc_id and u8 (1: null) for each document, u32 ids of each document,
   u32 ids, u32 bytes, u32 crc32 of the ids, of each block,
   the blocks' coded bytes.
 
-A block holds BLOCK ids (the last one fewer) and its coder and model start anew, so blocks decode independently; a segment's
-blocks are coded side by side, one numpy lane each. For each id, the orders 2, 1 and 0 (a table by the last two ids, one by
-the last id, and the block's prevailing id) each predict an id with a confidence. Their adaptive hit probabilities are mixed in
-the logistic domain, in integers, with weights that learn online; the mixed probability drives a range coder that codes a hit
-on the first candidate, a hit on the second, or an escape, which is followed by the id's size class under adaptive order-0
-counts and its remaining bits. Encoder and decoder step through the same model. Checksums of every block and segment are
-verified when reading; a mismatch is an error.
+A block holds BLOCK ids (the last one fewer) and its coder and model start anew, so blocks decode independently; LANES blocks at
+most are coded side by side, one numpy lane each, however long a document is. For each id, the orders 2, 1 and 0 (a table by the
+last two ids, one by the last id, and the block's prevailing id) each predict an id with a confidence. Their adaptive hit
+probabilities are mixed in the logistic domain, in integers, with weights that learn online; the mixed probability drives a range
+coder that codes a hit on the first candidate, a hit on the second, or an escape, which is followed by the id's size class under
+adaptive order-0 counts and its remaining bits. Encoder and decoder step through the same model. Checksums of every block, segment
+and head are verified when reading; a mismatch is an error. Ids are below 2^20 - 1; a larger one is an error.
 
 Nulls: a null text is empty and has the end id alone; a null id is kept as such and comes first. Repeated rows are documents of
 their own. An empty table gives files without segments. Other columns are ignored.
@@ -34,233 +34,251 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from kinweave.llm import workers
 from kinweave.llm.tokens import crc, default_tokenizer, encoder, slices
 
 BLOCK = 2048
-SEGMENT = 2_000_000
-SLOTS = 4096
-TOP, BOTTOM, MASK = 1 << 24, 1 << 16, (1 << 32) - 1
-MOST = 6 * BLOCK + 16
+LANES = 2048
+SEGMENT = BLOCK * LANES
+SLICE = 4_000_000
+SLOTS = 2048
+#: Size classes of escaped ids, and how many steps one table of their shares serves.
+CLASSES, TERM = 20, 64
+#: The coder's interval has 48 bits, is kept to 2^32 at least, and settles 16 bits at a time.
+LEAST, MASK = 1 << 32, (1 << 48) - 1
+#: 16-bit words that a block can take: 12 + 12 + 19 bits an id, and what truncation costs.
+MOST = 4 * BLOCK + 16
 
 
 @lru_cache(1)
-def _curves() -> tuple[np.ndarray, np.ndarray]:
-    """stretch of a 12-bit probability, and squash of -2047..2047, both integers."""
+def _curves() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """stretch of a 12-bit probability, squash of -2047..2047, both integers, and the next confidence by 2 x confidence + right."""
     x = np.arange(-2047, 2048)
-    squash = np.clip(np.rint(4096 / (1 + np.exp(-x / 256))), 1, 4095).astype(np.int64)
-    p = np.arange(4096)
-    stretch = np.clip(np.searchsorted(squash, p), 0, 4094) - 2047
-    return stretch.astype(np.int64), squash
+    squash = np.clip(np.rint(4096 / (1 + np.exp(-x / 256))), 1, 4095).astype(np.int32)
+    stretch = np.clip(np.searchsorted(squash, np.arange(4096)), 0, 4094) - 2047
+    confidence = [min(c + 1, 7) if right else c >> 1 or int(c == 0) for c in range(8) for right in (0, 1)]
+    return stretch.astype(np.int32), np.clip(squash, 16, 4032), np.array(confidence, np.int32)
 
 
 class Lanes:
     """The model and the coder of n blocks side by side."""
 
     def __init__(self, n: int, data: list[bytes] | None = None):
-        self.n, self.stretch, self.squash = n, *_curves()
-        zeros = lambda *s, t=np.int64: np.zeros(s, t)
-        self.lane = np.arange(n)
-        self.id2, self.sure2 = zeros(n * SLOTS, t=np.uint16), zeros(n * SLOTS, t=np.uint8)
-        self.id1, self.sure1 = zeros(n * SLOTS, t=np.uint16), zeros(n * SLOTS, t=np.uint8)
+        self.n, (self.stretch, self.squash, self.confidence) = n, _curves()
+        zeros = lambda size, t=np.int32: np.zeros(size, t)
+        lane = np.arange(n, dtype=np.int32)
+        self.lane, self.slots, self.contexts = lane.astype(np.int64), lane * SLOTS, lane * 16
+        self.table2, self.table1 = zeros(n * SLOTS), zeros(n * SLOTS)  # id << 3 | confidence
         self.id0, self.sure0 = zeros(n), zeros(n)
-        self.p2, self.p1, self.p0, self.pb = (np.full(n * 16, 1024, np.int64) for _ in range(4))
-        self.w = np.full((3, n), 22_000, np.int64)
-        self.counts = np.ones((n, 17), np.int64)
-        self.last, self.before = zeros(n), zeros(n)
-        self.low, self.range = zeros(n), np.full(n, MASK, np.int64)
-        self.spot = zeros(n)
+        self.hits = [np.full(n * 16, 1024, np.int32) for _ in range(3)]
+        self.seconds = np.full(n * 16, 1024, np.int32)
+        self.weights = [np.full(n, 22_000, np.int32) for _ in range(3)]
+        self.counts = np.ones((n, CLASSES), np.int32)
+        self.last, self.before, self.steps = zeros(n), zeros(n), 0
+        self.low, self.wide, self.spot = zeros(n, np.int64), np.full(n, MASK, np.int64), zeros(n, np.int64)
+        self.decode = data is not None
+        self.width = MOST if data is None else max(map(len, data), default=0) // 2 + 4
         if data is None:
-            self.bytes = np.zeros((n, MOST), np.uint8)
+            self.words = np.zeros(n * MOST, "<u2")
         else:
-            width = max(map(len, data), default=0) + 8
-            self.bytes = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in data), np.uint8).reshape(n, width)
-            self.code = zeros(n)
-            for _ in range(4):
-                self.code = self.code << 8 | self.bytes[self.lane, self.spot]
+            self.words = np.frombuffer(b"".join(x.ljust(2 * self.width, b"\0") for x in data), "<u2")
+            self.code = zeros(n, np.int64)
+            for _ in range(3):
+                self.code = self.code << 16 | self.words[self.lane * self.width + self.spot]
                 self.spot += 1
 
     def settle(self, at: np.ndarray) -> None:
-        """Shifts out (or in) the bytes that are settled in the lanes `at`."""
+        """Shifts out (or in) the words that are settled in the lanes `at`, until their intervals are wide enough."""
+        low, wide = self.low[at], self.wide[at]
+        move = ((low ^ low + wide) < LEAST) | (wide < LEAST)
+        at, low, wide = at[move], low[move], wide[move]
         while len(at):
-            low, wide = self.low[at], self.range[at]
-            same = (low ^ low + wide & MASK) < TOP
-            short = ~same & (wide < BOTTOM)
-            move = same | short
-            at, low = at[move], low[move]
-            wide = np.where(short[move], -low & BOTTOM - 1, wide[move])
-            spot = self.spot[at]
-            if hasattr(self, "code"):
-                self.code[at] = (self.code[at] << 8 | self.bytes[at, spot]) & MASK
+            same = (low ^ low + wide) < LEAST
+            wide = np.where(same, wide, -low & LEAST - 1) << 16
+            spot = at * self.width + np.minimum(self.spot[at], self.width - 1)  # a damaged block may run past its end
+            if self.decode:
+                self.code[at] = (self.code[at] << 16 | self.words[spot]) & MASK
             else:
-                self.bytes[at, spot] = low >> 24
-            self.spot[at] = spot + 1
-            self.low[at], self.range[at] = low << 8 & MASK, wide << 8 & MASK
-
-    def put(self, at, start, size, bits: int | np.ndarray) -> None:
-        wide = self.range[at] >> bits
-        self.low[at] = self.low[at] + start * wide & MASK
-        self.range[at] = wide * size
-        self.settle(at)
-
-    def get(self, at, bits) -> np.ndarray:
-        """The value below 1 << bits that lies in the interval; put() of it must follow."""
-        return np.minimum((self.code[at] - self.low[at] & MASK) // (self.range[at] >> bits), (1 << bits) - 1)
+                self.words[spot] = low >> 32
+            self.spot[at] += 1
+            low = low << 16 & MASK
+            self.low[at], self.wide[at] = low, wide
+            more = ((low ^ low + wide) < LEAST) | (wide < LEAST)
+            at, low, wide = at[more], low[more], wide[more]
+
+    def _value(self, at, bits) -> np.ndarray:
+        """The value below 1 << bits that lies in the interval. Both sides are below 2^53, so the quotient is exact."""
+        part = self.wide[at] >> bits
+        return np.minimum((((self.code[at] - self.low[at]) & MASK) / part).astype(np.int64), (1 << bits) - 1)
 
     def step(self, k: int, ids: np.ndarray | None) -> np.ndarray:
         """Codes (or decodes, without ids) the next id of the first k lanes, and learns."""
-        lane = self.lane[:k]
-        last, before = self.last[:k], self.before[:k]
-        s2 = lane * SLOTS + ((last * 40503 + before * 30011 >> 3) & SLOTS - 1)
-        s1 = lane * SLOTS + ((last * 40503 >> 4) & SLOTS - 1)
-        i2, c2 = self.id2[s2].astype(np.int64), self.sure2[s2].astype(np.int64)
-        i1, c1 = self.id1[s1].astype(np.int64), self.sure1[s1].astype(np.int64)
-        i0, c0 = self.id0[:k], self.sure0[:k]
+        if self.steps % TERM == 0:
+            self._terms()
+        self.steps += 1
+        last, before, contexts = self.last[:k], self.before[:k], self.contexts[:k]
+        s2 = self.slots[:k] + ((last * 40503 + before * 30011 >> 3) & SLOTS - 1)
+        s1 = self.slots[:k] + ((last * 40503 >> 4) & SLOTS - 1)
+        e2, e1 = self.table2.take(s2), self.table1.take(s1)
+        i2, c2, i1, c1, i0, c0 = e2 >> 3, e2 & 7, e1 >> 3, e1 & 7, self.id0[:k], self.sure0[:k]
         a = np.where(c2 > 0, i2, np.where(c1 > 0, i1, i0))
-        b = np.where(a != i1, i1, i0)
-        x2, x1, x0 = lane * 16 + c2 + 8 * (a == i1), lane * 16 + c1 + 8 * (a == i1), lane * 16 + np.minimum(c0, 7) + 8 * (a == i0)
-        q2, q1, q0 = self.p2[x2], self.p1[x1], self.p0[x0]
-        t2, t1, t0 = self.stretch[q2], self.stretch[q1], self.stretch[q0]
-        w2, w1, w0 = self.w[:, :k]
-        p = self.squash[np.clip(w2 * t2 + w1 * t1 + w0 * t0 >> 16, -2047, 2047) + 2047]
-        p = np.clip(p, 16, 4032)
-        xb = lane * 16 + c1
-        qb = self.pb[xb]
-        second = np.where(a == b, 0, np.clip((4096 - p) * qb >> 12, 1, 4096 - p - 8))
+        same1 = a == i1
+        b = np.where(same1, i0, i1)
+        x2, x1, x0 = contexts + (2 * c2 + same1), contexts + (2 * c1 + same1), contexts + (2 * np.minimum(c0, 7) + (a == i0))
+        places = (x2, x1, x0)
+        q = [h.take(x) for h, x in zip(self.hits, places)]
+        t = [self.stretch.take(x) for x in q]
+        w = [x[:k] for x in self.weights]
+        dot = w[0] * t[0] + w[1] * t[1] + w[2] * t[2] >> 16
+        p = self.squash.take(np.minimum(np.maximum(dot, -2047), 2047) + 2047)
+        left = 4096 - p
+        second = self.seconds.take(x1)
+        pb = np.minimum(np.maximum(left * second >> 12, 1), left - 8)
+        pb[a == b] = 0
+        wide = self.wide[:k] >> 12
         if ids is None:
-            v = self.get(lane, 12)
-            kind = (v >= p).astype(np.int64) + (v >= p + second)
+            v = np.minimum((((self.code[:k] - self.low[:k]) & MASK) / wide).astype(np.int64), 4095)
+            missed = v >= p
+            gone = v >= p + pb
         else:
-            kind = np.where(ids == a, 0, np.where((ids == b), 1, 2))
-        start = np.where(kind == 0, 0, np.where(kind == 1, p, p + second))
-        size = np.where(kind == 0, p, np.where(kind == 1, second, 4096 - p - second))
-        self.put(lane, start, size, 12)
-        out = np.where(kind == 0, a, b) if ids is None else ids
-        out = self.escape(np.flatnonzero(kind == 2), out, ids is None)
-        hit = (kind == 0).astype(np.int64) << 12
+            missed = ids != a
+            gone = missed & (ids != b)
+        start = np.where(missed, p, 0) + np.where(gone, pb, 0)
+        size = np.where(missed, np.where(gone, left - pb, pb), p)
+        self.low[:k] += start * wide
+        self.wide[:k] = wide * size
+        out = np.where(missed, b, a) if ids is None else ids
+        out = self._escape(np.flatnonzero(gone), out, k)
+        hit = np.where(missed, 0, 4096).astype(np.int32)
         error = hit - p
-        self.w[0, :k] += t2 * error >> 8
-        self.w[1, :k] += t1 * error >> 8
-        self.w[2, :k] += t0 * error >> 8
-        self.p2[x2], self.p1[x1], self.p0[x0] = q2 + (hit - q2 >> 5), q1 + (hit - q1 >> 5), q0 + (hit - q0 >> 5)
-        missed = kind > 0
-        self.pb[xb] = np.where(missed, qb + (((kind == 1).astype(np.int64) << 12) - qb >> 5), qb)
-        for table, sure, s, i, c in ((self.id2, self.sure2, s2, i2, c2), (self.id1, self.sure1, s1, i1, c1)):
-            right = i == out
-            table[s] = np.where(c == 0, out, i)
-            sure[s] = np.where(right, np.minimum(c + 1, 7), np.where(c == 0, 1, c >> 1))
+        for weight, x in zip(w, t):
+            weight += x * error >> 8
+            np.minimum(np.maximum(weight, -131_072, out=weight), 131_072, out=weight)
+        for h, x, y in zip(self.hits, places, q):
+            h[x] = y + (hit - y >> 5)
+        self.seconds[x1] = np.where(missed, second + (np.where(gone, 0, 4096) - second >> 5), second)
+        self.table2[s2] = np.where(c2 == 0, out, i2) << 3 | self.confidence.take(2 * c2 + (i2 == out))
+        self.table1[s1] = np.where(c1 == 0, out, i1) << 3 | self.confidence.take(2 * c1 + (i1 == out))
         right = i0 == out
         self.id0[:k] = np.where(right | (c0 > 0), i0, out)
         self.sure0[:k] = np.where(right, np.minimum(c0 + 1, 255), np.maximum(c0 - 1, 0))
-        self.before[:k], self.last[:k] = last.copy(), out
+        self.before[:k] = last
+        self.last[:k] = out
         return out
 
-    def escape(self, at: np.ndarray, ids: np.ndarray, decode: bool) -> np.ndarray:
-        """Size class of id + 1 under adaptive counts, then its other bits."""
+    def _terms(self) -> None:
+        """Each lane's shares of the classes, of 4096 parts, one part a class at least."""
+        ends = np.cumsum(self.counts, 1)
+        self.shares = np.zeros((self.n, CLASSES + 1), np.int64)
+        self.shares[:, 1:] = ends.astype(np.int64) * (4096 - CLASSES) // ends[:, -1:] + np.arange(1, CLASSES + 1)
+        self.counts = np.where(ends[:, -1:] > 400, self.counts + 1 >> 1, self.counts)
+
+    def _escape(self, at: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+        """Size class of id + 1 under adaptive counts, then its other bits. Settles all lanes."""
         if not len(at):
+            self.settle(self.lane[:k])
             return ids
-        counts = self.counts[at]
-        ends = np.cumsum(counts, 1)
-        total = ends[:, -1]
-        share = (ends << 12) // total[:, None]  # every class keeps one part of 4096 at least, since totals stay below it
-        if decode:
-            v = self.get(at, 12)
-            kind = (share <= v[:, None]).sum(1)
+        if self.decode:
+            kind = (self.shares[at, 1:] <= self._value(at, 12)[:, None]).sum(1)
         else:
-            kind = np.frexp((ids[at] + 1).astype(np.float64))[1] - 1
-        rows = np.arange(len(at))
-        high = share[rows, kind]
-        low = np.where(kind > 0, share[rows, kind - 1], 0)
-        self.put(at, low, high - low, 12)
+            own = ids[at].astype(np.int64) + 1
+            kind = np.frexp(own.astype(np.float64))[1] - 1
+        part = self.wide[at] >> 12
+        low, high = self.shares[at, kind], self.shares[at, kind + 1]
+        self.low[at] += low * part
+        self.wide[at] = part * (high - low)
+        self.settle(self.lane[:k])
         bits = kind.astype(np.int64)
-        if decode:
-            rest = self.get(at, bits)
-        else:
-            rest = ids[at] + 1 - (1 << bits)
-        self.put(at, rest, 1, bits)
-        if decode:
+        rest = self._value(at, bits) if self.decode else own - (1 << bits)
+        part = self.wide[at] >> bits
+        self.low[at] += rest * part
+        self.wide[at] = part
+        self.settle(at)
+        if self.decode:
             ids = ids.copy()
             ids[at] = (1 << bits) + rest - 1
-        counts[rows, kind] += 24
-        full = total + 24 > 2000
-        if full.any():
-            counts[full] = counts[full] + 1 >> 1
-        self.counts[at] = counts
+        self.counts[at, kind] += 8
         return ids
 
 
 def compress(ids: np.ndarray) -> list[tuple[int, bytes]]:
     """(ids, bytes) of each block."""
-    n = -(-len(ids) // BLOCK)
-    if not n:
-        return []
-    if ids.max() >= 1 << 16:
-        raise ValueError("ids of over 16 bits")
-    grid = np.zeros((n, BLOCK), np.int64)
-    grid.ravel()[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.T)
-    lanes, rest = Lanes(n), len(ids) - (n - 1) * BLOCK
-    for t in range(BLOCK):
-        k = n if t < rest else n - 1
-        if not k:
-            break
-        lanes.step(k, grid[t, :k])
+    if len(ids) and ids.max() >= (1 << CLASSES) - 1:
+        raise ValueError(f"an id is not below 2^{CLASSES} - 1")
     out = []
-    for i in range(n):
-        tail = int(lanes.low[i]).to_bytes(4, "big")
-        out.append((BLOCK if i < n - 1 else rest, lanes.bytes[i, : lanes.spot[i]].tobytes() + tail))
+    for first in range(0, len(ids), BLOCK * LANES):
+        part = ids[first : first + BLOCK * LANES]
+        n = -(-len(part) // BLOCK)
+        grid = np.zeros((n, BLOCK), np.int32)
+        grid.ravel()[: len(part)] = part
+        grid = np.ascontiguousarray(grid.T)
+        lanes, rest = Lanes(n), len(part) - (n - 1) * BLOCK
+        for t in range(BLOCK):
+            k = n if t < rest else n - 1
+            if not k:
+                break
+            lanes.step(k, grid[t, :k])
+        words = lanes.words.reshape(n, MOST)
+        for i in range(n):
+            low = int(lanes.low[i])
+            tail = np.array([low >> 32, low >> 16 & 0xFFFF, low & 0xFFFF], "<u2")
+            out.append((BLOCK if i < n - 1 else rest, words[i, : lanes.spot[i]].tobytes() + tail.tobytes()))
     return out
 
 
 def expand(blocks: list[tuple[int, bytes]]) -> np.ndarray:
-    n = len(blocks)
-    if not n:
-        return np.zeros(0, "<u4")
-    lanes, rest = Lanes(n, [x for _, x in blocks]), blocks[-1][0]
-    grid = np.zeros((BLOCK, n), "<u4")
-    for t in range(BLOCK):
-        k = n if t < rest else n - 1
-        if not k:
-            break
-        grid[t, :k] = lanes.step(k, None)
-    return np.ascontiguousarray(grid.T).ravel()[: (n - 1) * BLOCK + rest]
-
-
-def pack_segment(docs: list[tuple[int | None, bytes]]) -> bytes:
-    data = b"".join(x for _, x in docs)
-    ids = np.frombuffer(data, "<u4")
+    out = []
+    for first in range(0, len(blocks), LANES):
+        part = blocks[first : first + LANES]
+        n, rest = len(part), part[-1][0]
+        lanes = Lanes(n, [x for _, x in part])
+        grid = np.zeros((BLOCK, n), "<u4")
+        for t in range(BLOCK):
+            k = n if t < rest else n - 1
+            if not k:
+                break
+            grid[t, :k] = lanes.step(k, None)
+        out.append(np.ascontiguousarray(grid.T).ravel()[: (n - 1) * BLOCK + rest])
+    return np.concatenate([*out, np.zeros(0, "<u4")])
+
+
+def pack_segment(docs: list[tuple[int | None, int]], ids: np.ndarray) -> bytes:
+    """docs: (doc_id, its number of ids), of ids in that order."""
+    data = ids.astype("<u4").tobytes()
     blocks = compress(ids)
-    head = [b"KWT1", struct.pack("<4I", len(docs), len(ids), len(blocks), crc(data))]
-    head.append(b"".join(struct.pack("<qB", d or 0, d is None) for d, _ in docs))
-    head.append(np.array([len(x) // 4 for _, x in docs], "<u4").tobytes())
-    head += [struct.pack("<3I", n, len(x), crc(data[4 * BLOCK * i : 4 * BLOCK * i + 4 * n])) for i, (n, x) in enumerate(blocks)]
-    return b"".join(head + [x for _, x in blocks])
+    names = np.array([(d or 0, d is None) for d, _ in docs], _NAME).tobytes() + np.array([n for _, n in docs], "<u4").tobytes()
+    heads = np.array([(n, len(x), crc(data[4 * BLOCK * i : 4 * BLOCK * i + 4 * n])) for i, (n, x) in enumerate(blocks)], "<u4").tobytes()
+    head = struct.pack("<4I", len(docs), len(ids), len(blocks), crc(data))
+    return b"".join([b"KWT2", head, struct.pack("<I", crc(head + names + heads)), names, heads, *[x for _, x in blocks]])
+
 
+_NAME = np.dtype([("doc_id", "<i8"), ("none", "u1")])
 
-def unpack_segment(data: bytes) -> Iterator[tuple[int | None, bytes]]:
-    """(doc_id, ids) of each document; raises where a checksum differs."""
-    if data[:4] != b"KWT1":
+
+def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, bytes]:
+    """doc_ids, each one's number of ids, and all ids (u32 each); raises where a checksum differs."""
+    if data[:4] != b"KWT2" or len(data) < 24:
         raise ValueError("not a segment")
-    n_docs, n_ids, n_blocks, check = struct.unpack_from("<4I", data, 4)
-    names = [struct.unpack_from("<qB", data, 20 + 9 * i) for i in range(n_docs)]
-    at = 20 + 9 * n_docs
-    sizes = np.frombuffer(data, "<u4", n_docs, at).tolist()
-    at += 4 * n_docs
-    heads = [struct.unpack_from("<3I", data, at + 12 * i) for i in range(n_blocks)]
-    at += 12 * n_blocks
+    n_docs, n_ids, n_blocks, check, told = struct.unpack_from("<5I", data, 4)
+    at = 24 + 13 * n_docs + 12 * n_blocks
+    if at > len(data) or crc(data[4:20] + data[24:at]) != told:
+        raise ValueError("the segment's head is damaged")
+    names = np.frombuffer(data, _NAME, n_docs, 24)
+    sizes = np.frombuffer(data, "<u4", n_docs, 24 + 9 * n_docs).astype(np.int64)
+    heads = np.frombuffer(data, "<u4", 3 * n_blocks, 24 + 13 * n_docs).reshape(-1, 3).tolist()
     blocks = []
     for n, size, _ in heads:
         blocks.append((n, data[at : at + size]))
         at += size
+    if at != len(data):
+        raise ValueError("the segment has another length")
     ids = expand(blocks).astype("<u4").tobytes()
-    for i, (n, _, told) in enumerate(heads):
-        if crc(ids[4 * BLOCK * i : 4 * BLOCK * i + 4 * n]) != told:
+    for i, (n, _, own) in enumerate(heads):
+        if crc(ids[4 * BLOCK * i : 4 * BLOCK * i + 4 * n]) != own:
             raise ValueError(f"block {i} is damaged")
     if len(ids) != 4 * n_ids or zlib.crc32(ids) != check:
         raise ValueError("the segment is damaged")
-    spot = 0
-    for (d, none), n in zip(names, sizes):
-        yield None if none else d, ids[spot : spot + 4 * n]
-        spot += 4 * n
+    return [None if none else d for d, none in names.tolist()], sizes, ids
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2, *, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -268,26 +286,36 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, number = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        held: list[tuple[int | None, bytes]] = []
+        names: list[int | None] = []
+        held: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         count = 0
 
         def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([number], pa.int64()), pa.array([pack_segment(held)], pa.binary())], ["part", "segment", "data"])
+            data = pack_segment(list(zip(names, np.concatenate(sizes).tolist())), np.concatenate(held))
+            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([number], pa.int64()), pa.array([data], pa.binary())], ["part", "segment", "data"])
 
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo, hi in slices(texts):
-                for doc, data in zip(ids[lo:hi], enc.encode(texts[lo:hi], end_id)):
-                    held.append((doc, data))
-                    count += len(data) // 4
-                    if count >= SEGMENT:
+            for lo, hi in slices(texts, SLICE):
+                flat, n = enc.flat(texts[lo:hi], end_id)
+                ends, at = np.cumsum(n), 0
+                while at < len(n):  # as many documents as fill the segment, one at least
+                    before = int(ends[at - 1]) if at else 0
+                    to = max(at + 1, int(np.searchsorted(ends, before + SEGMENT - count, side="right")))
+                    names += ids[lo + at : lo + to]
+                    sizes.append(n[at:to])
+                    held.append(flat[before : int(ends[to - 1])])
+                    count += int(ends[to - 1]) - before
+                    at = to
+                    if count >= SEGMENT or at < len(n):
                         yield row()
-                        held, count, number = [], 0, number + 1
-        if held:
+                        names, held, sizes, count, number = [], [], [], 0, number + 1
+        if names:
             yield row()
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    own.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(run, "part long, segment long, data binary").write.mode("overwrite").parquet(path)
+    own.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(workers.tidy(run), "part long, segment long, data binary").write.mode("overwrite").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -296,11 +324,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, segment, data in zip(*(b.column(i).to_pylist() for i in range(3))):
-                docs = list(unpack_segment(data))
-                n = len(docs)
-                yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int64()), pa.array([segment] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array([d for d, _ in docs], pa.int64()), pa.array([x for _, x in docs], pa.binary())], ["part", "segment", "place", "doc_id", "ids"])
-
-    return spark.read.parquet(path).select("part", "segment", "data").mapInArrow(run, "part long, segment long, place long, doc_id long, ids binary")
+                names, sizes, ids = unpack_segment(data)
+                n, ends = len(names), np.cumsum(sizes)
+                for lo in range(0, n, 8192):  # a batch holds so many documents at most
+                    hi = min(n, lo + 8192)
+                    cuts = [0, *(4 * ends[lo:hi] - 4 * (ends[lo] - sizes[lo])).tolist()]
+                    own = ids[4 * int(ends[lo] - sizes[lo]) : 4 * int(ends[hi - 1])]
+                    texts = pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(np.array(cuts, np.int64).tobytes()), pa.py_buffer(own)]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([part] * (hi - lo), pa.int64()), pa.array([segment] * (hi - lo), pa.int64()), pa.array(range(lo, hi), pa.int64()), pa.array(names[lo:hi], pa.int64()), texts], ["part", "segment", "place", "doc_id", "ids"])
+
+    return spark.read.parquet(path).select("part", "segment", "data").mapInArrow(workers.tidy(run), "part long, segment long, place long, doc_id long, ids binary")
 
 
 def described(read_back: DataFrame, keep) -> DataFrame:
