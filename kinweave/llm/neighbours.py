@@ -50,15 +50,16 @@ def direction(d: int, *seed: int) -> np.ndarray:
     return v / np.sqrt(v @ v)
 
 
-def _unit(rows: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(rows), "<f8").reshape(len(rows), -1)
+def _unit(rows: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors in double precision, from components as they are stored."""
+    x = np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1).astype(np.float64)
     top = np.abs(x).max(1, keepdims=True)
     x = x / top
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _read(vectors: DataFrame) -> DataFrame:
-    """vec_id, key (16 bytes, null where the vector links with nothing), label, vec (doubles)."""
+def _read(vectors: DataFrame, kind: str) -> DataFrame:
+    """vec_id, key (16 bytes, null where the vector links with nothing), label, vec (its components as bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -66,7 +67,7 @@ def _read(vectors: DataFrame) -> DataFrame:
             for v, label in zip(b.column(2), b.column(1).to_pylist()):
                 key = vec = None
                 if label is not None and v.is_valid and len(v) and not v.values.null_count:
-                    x = np.asarray(v.values.to_numpy(zero_copy_only=False), "<f8")
+                    x = np.asarray(v.values.to_numpy(zero_copy_only=False), kind)
                     if np.isfinite(x).all() and x.any():
                         vec = x.tobytes()
                         name = label.encode("utf-8", "surrogatepass")
@@ -157,9 +158,9 @@ def _margin(d: int, threshold: float) -> float:
     return MARGIN / 2 * float(np.sqrt(2 * (1 - threshold) / d))
 
 
-def _planted(sample: DataFrame, threshold: float) -> DataFrame:
+def _planted(sample: DataFrame, threshold: float, kind: str) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        x = _unit(table.column("vec").to_pylist())
+        x = _unit(table.column("vec").to_pylist(), kind)
         tree, leaf, n = (table.column(c)[0].as_py() for c in ("tree", "leaf", "n"))
         attempts, medians = plant(x, n, _margin(x.shape[1], threshold), tree, leaf)
         return table.select(KEY).slice(0, 1).append_column("attempts", pa.array([attempts.tobytes()], pa.binary())).append_column("medians", pa.array([medians.tobytes()], pa.binary()))
@@ -167,7 +168,7 @@ def _planted(sample: DataFrame, threshold: float) -> DataFrame:
     return sample.groupBy(*KEY).applyInArrow(run, "label string, dim int, tree int, leaf long, attempts binary, medians binary")
 
 
-def _routed(rows: DataFrame, threshold: float) -> DataFrame:
+def _routed(rows: DataFrame, threshold: float, kind: str) -> DataFrame:
     """rows with the attempts and medians of their group (null: to be compared in whole) to rows with the next leaf and whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,39 +182,37 @@ def _routed(rows: DataFrame, threshold: float) -> DataFrame:
                     ends = [(np.arange(len(own)), 1, True)]
                 else:
                     attempts, medians = (np.frombuffer(part.column(c)[0].as_py(), t) for c, t in (("attempts", np.int64), ("medians", np.float64)))
-                    ends = route(_unit(part.column("vec").to_pylist()), attempts, medians, _margin(dim, threshold), tree, leaf)
+                    ends = route(_unit(part.column("vec").to_pylist(), kind), attempts, medians, _margin(dim, threshold), tree, leaf)
                 for at, place, whole in ends:
                     out = part.take(pa.array(at))
                     n = len(at)
-                    yield pa.RecordBatch.from_arrays([*(out.column(c) for c in ("label", "dim", "tree")), pa.array(np.full(n, leaf << LEVELS + 1 | place)), out.column("node"), out.column("vec"), pa.array(np.full(n, whole))], [*KEY, "node", "vec", "whole"])
+                    yield pa.RecordBatch.from_arrays([*(out.column(c) for c in ("label", "dim", "tree")), pa.array(np.full(n, leaf << LEVELS + 1 | place)), out.column("node"), pa.array(np.full(n, whole))], [*KEY, "node", "whole"])
 
-    return rows.select(*KEY, "node", "vec", "attempts", "medians").mapInArrow(run, "label string, dim int, tree int, leaf long, node long, vec binary, whole boolean")
+    return rows.select(*KEY, "node", "vec", "attempts", "medians").mapInArrow(run, "label string, dim int, tree int, leaf long, node long, whole boolean")
 
 
-def _split(nodes: DataFrame, threshold: float, trees: int, keep: Scratch) -> DataFrame:
+def _split(nodes: DataFrame, threshold: float, trees: int, keep: Scratch, kind: str) -> DataFrame:
     """Groups to compare: label, dim, tree (null: all of them), leaf, node, vec, n (rows of the group), whole."""
     sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
     rows = nodes.select("label", "dim", "node", "vec").join(sizes, ["label", "dim"])
-    done = [rows.where(F.col("n") <= GROUP).select("label", "dim", F.lit(None).cast("int").alias("tree"), F.lit(1).cast("long").alias("leaf"), "node", "vec", "n", F.lit(False).alias("whole"))]
-    large = sizes.where(F.col("n") > GROUP)
-    if not large.limit(1).count():
-        return done[0]
-    todo = rows.where(F.col("n") > GROUP).select("label", "dim", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(1).cast("long").alias("leaf"), "node", "vec", "n")
+    done = rows.where(F.col("n") <= GROUP).select("label", "dim", F.lit(None).cast("int").alias("tree"), F.lit(1).cast("long").alias("leaf"), "node", "vec", "n", F.lit(False).alias("whole"))
+    if not sizes.where(F.col("n") > GROUP).limit(1).count():
+        return done
+    # places in trees are written without the vectors, which join them again where they are needed
+    vectors, ends = nodes.select("node", "vec"), None
+    todo = rows.where(F.col("n") > GROUP).select("label", "dim", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(1).cast("long").alias("leaf"), "node", "n", "vec")
     for r in itertools.count():
         sample = todo.where(F.pmod(F.xxhash64("node", "tree", "leaf"), F.lit(1 << 30)) * F.col("n") < F.lit(SAMPLE << 30))
-        planted = keep.put(_planted(sample, threshold), f"planted{r}")
-        next_ = keep.put(_routed(todo.join(planted, KEY, "left"), threshold), f"routed{r}")
-        sizes = next_.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
-        next_ = next_.join(sizes, KEY)
+        planted = keep.put(_planted(sample, threshold, kind), f"planted{r}")
+        routed = keep.put(_routed(todo.join(planted, KEY, "left"), threshold, kind), f"routed{r}")
+        counted = routed.join(routed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")), KEY)
         open_ = (F.col("n") > GROUP) & ~F.col("whole")
-        done.append(next_.where(~open_).select(*KEY, "node", "vec", "n", "whole"))
-        todo = next_.where(open_).drop("whole")
-        if not todo.limit(1).count():
+        closed = counted.where(~open_).select(*KEY, "node", "n", "whole")
+        ends = closed if ends is None else ends.unionByName(closed)
+        todo = counted.where(open_).drop("whole").join(vectors, "node")
+        if not counted.where(open_).limit(1).count():
             break
-    out = done[0]
-    for x in done[1:]:
-        out = out.unionByName(x)
-    return out
+    return done.unionByName(ends.join(vectors, "node").select(*done.columns))
 
 
 def _blocks(rows: DataFrame, whole) -> DataFrame:
@@ -231,11 +230,11 @@ def _near(x: np.ndarray, threshold: float, left: np.ndarray, right: np.ndarray)
         yield left[lo + i], right[j]
 
 
-def _forests(groups: DataFrame, threshold: float, trees: int) -> DataFrame:
+def _forests(groups: DataFrame, threshold: float, trees: int, kind: str) -> DataFrame:
     """a, b: a spanning forest of the links that each task finds."""
 
     def run(table: pa.Table) -> pa.Table:
-        x, node, block = _unit(table.column("vec").to_pylist()), table.column("node").to_numpy(), table.column("block").to_numpy()
+        x, node, block = _unit(table.column("vec").to_pylist(), kind), table.column("node").to_numpy(), table.column("block").to_numpy()
         tree, lo, hi, whole = (table.column(c)[0].as_py() for c in ("tree", "lo", "hi", "whole"))
         root = np.arange(len(x))
         if whole:
@@ -251,11 +250,11 @@ def _forests(groups: DataFrame, threshold: float, trees: int) -> DataFrame:
     return groups.groupBy(*KEY, "lo", "hi").applyInArrow(run, "a long, b long")
 
 
-def _counts(groups: DataFrame, threshold: float) -> DataFrame:
+def _counts(groups: DataFrame, threshold: float, kind: str) -> DataFrame:
     """node, n: how many rows of other nodes each node links with, in each pair of blocks of its component."""
 
     def run(table: pa.Table) -> pa.Table:
-        x, node, block, copies = _unit(table.column("vec").to_pylist()), table.column("node").to_numpy(), table.column("block").to_numpy(), table.column("copies").to_numpy()
+        x, node, block, copies = _unit(table.column("vec").to_pylist(), kind), table.column("node").to_numpy(), table.column("block").to_numpy(), table.column("copies").to_numpy()
         lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
         n = np.zeros(len(x), np.int64)
@@ -272,14 +271,15 @@ def _counts(groups: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, trees: int = TREES, *, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     keep = Scratch(vectors.sparkSession, "neighbours")
-    rows = keep.put(_read(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).alias("vec"))), "rows")
+    kind = "<f4" if dict(vectors.dtypes)[vec_col] == "array<float>" else "<f8"
+    rows = keep.put(_read(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).alias("vec")), kind), "rows")
     nodes = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vec").alias("vec"))
-    nodes = keep.put(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", (F.octet_length("vec") / 8).cast("int")), "nodes")
-    links = keep.put(_forests(_blocks(_split(nodes, threshold, trees, keep), F.col("whole")), threshold, trees), "links")
+    nodes = keep.put(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", (F.octet_length("vec") / np.dtype(kind).itemsize).cast("int")), "nodes")
+    links = keep.put(_forests(_blocks(_split(nodes, threshold, trees, keep, kind), F.col("whole")), threshold, trees, kind), "links")
     roots = keep.put(components(links, keep), "roots")
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     members = nodes.select("node", "copies", "vec").join(roots, "node").join(sizes, "root")
-    counts = _counts(_blocks(members, F.lit(True)), threshold).groupBy("node").agg(F.sum("n").alias("others"))
+    counts = _counts(_blocks(members, F.lit(True)), threshold, kind).groupBy("node").agg(F.sum("n").alias("others"))
     named = nodes.select("key", "node", "least", "copies").join(counts, "node", "left").join(roots, "node", "left")
     named = keep.put(named.withColumn("root", F.coalesce("root", "node")), "named")
     least = named.groupBy("root").agg(F.min("least").alias("component"))
