@@ -377,7 +377,7 @@ def _classes(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_
     wanted = candidates.join(sizes, "class").select("code", "copies", "class", "blocks", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int").alias("block")).dropDuplicates(["code"])
     wanted = keep.put(wanted, "wanted")
     near = sift(own.select("code", "text"), "code", sieve(wanted.select("code")), "near").where("near").drop("near")
-    texts = near.join(wanted, "code").groupBy("code", "copies", "class", "blocks", "block").agg(F.first("text").alias("text"))
+    texts = near.groupBy("code").agg(F.first("text").alias("text")).join(wanted, "code")  # copies of a text fall together before the shuffle
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("block"), j).alias("lo"), F.greatest(F.col("block"), j).alias("hi")))
     spread = texts.select("class", "block", "text", "copies", F.explode(pairs).alias("p")).select("class", "p.lo", "p.hi", "block", "text", "copies")
     found = keep.put(_joined(spread, words, rule), "found")
