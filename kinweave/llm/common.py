@@ -1,4 +1,7 @@
-"""What the operators share: reading tables, shared scratch tables, digests, prefix sums."""
+"""What the operators share: reading tables, shared scratch tables, digests, prefix sums.
+
+Column functions take null for empty text. gapless() keeps null keys as a key of their own and breaks ties by the order given;
+columns whose names begin with two underscores are its own. Empty tables give empty tables."""
 
 from __future__ import annotations
 
@@ -18,12 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a local one only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a new one only where that is unset and the session local."""
     sc = spark.sparkContext
     at = sc.getConf().get("spark.checkpoint.dir")
     if not at:
         at = sc.getCheckpointDir()
         if not at:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="kinweave-"))
             at = sc.getCheckpointDir()
     return at.rstrip("/")

@@ -384,3 +384,23 @@ def test_pipeline_stages(spark, tmp_path):
     assert out[2].groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
     pieces = out[3].collect()
     assert sum(r["piece"] == 0 for r in pieces) == out[2].count()
+
+
+def test_whole_pipeline_with_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(13)
+    text = lambda k: " ".join(f"u{x}" for x in rng.integers(0, 10_000, k))
+    one = text(50)
+    rows = [(i, text(40), f"s{i % 3}" if i % 4 else None) for i in range(30)] + [(None, one, "s1"), (40, one, "s1"), (40, one, "s1"), (41, None, "s1"), (42, "", "s0")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, code string, part int"
+    for name, own in (("full", rows), ("empty", [])):
+        d = str(tmp_path / name)
+        spark.createDataFrame([(i, t, "en", s, len(t or ""), "r", "c", 1) for i, t, s in own], schema).write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+        out = corpus_pipeline.run(spark, d).collect()
+        assert bool(out) == bool(own) and {r["doc_id"] for r in out} <= {*range(30), 40}
+    from kinweave.llm import quality as q
+
+    kept = jaccard.one_of_each(q.keep_good(spark.createDataFrame([(i, t, "en", s, 0, "r", "c", 1) for i, t, s in rows], schema), None))
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter([*range(30), 40])
