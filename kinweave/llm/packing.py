@@ -28,7 +28,7 @@ from kinweave.llm.common import Scratch
 from kinweave.llm.tokens import crc, default_tokenizer, encoder, slices
 
 PART = 50_000
-SLICE = 4_000_000
+SLICE = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -90,16 +90,18 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            ids, texts = b.column(0).to_pylist(), b.column(1)  # texts stay as they came
             out: list[list] = [[], [], [], [], []]
             for lo, hi in slices(texts, SLICE):
-                flat, sizes = enc.flat(texts[lo:hi], end_id)
+                flat, sizes = enc.flat(texts.slice(lo, hi - lo), end_id)
                 view, at = memoryview(flat.astype("<u4").tobytes()), 0
                 for doc, n in zip(ids[lo:hi], sizes.tolist()):
                     for k, (s, m) in enumerate(cut(n, capacity)):
                         for col, v in zip(out, (doc, k, s, m, crc(view[4 * (at + s) : 4 * (at + s + m)]))):
                             col.append(v)
                     at += n
+                del flat, view
+            workers.trim()
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(workers.tidy(run), PIECES)

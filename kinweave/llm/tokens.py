@@ -103,7 +103,8 @@ class Encoder:
             joined = ["".join(u) for u in units]
             if model is self.bare:
                 joined = [b"\xff".join([x.encode() for x in _PIECES.findall(j)]).decode("latin1").translate(self.signs) for j in joined]
-            for u, e in zip(units, model.encode_batch_fast(joined, add_special_tokens=False)):
+            # a few at a time: the library's own results are many times the ids
+            for u, e in zip(units, (e for i in range(0, len(joined), 8) for e in model.encode_batch_fast(joined[i : i + 8], add_special_tokens=False))):
                 own = np.array(e.ids, np.uint32)
                 ends = np.cumsum([len(x.encode()) for x in u])
                 cuts = np.searchsorted(np.cumsum(self.size[own]), ends) + 1
@@ -125,12 +126,12 @@ class Encoder:
         self.pool, ends = ragged(self.pool, self.starts[order], self.sizes)
         self.starts = ends - self.sizes
 
-    def flat(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def flat(self, texts: list[str | None] | pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, each text's followed by `end`, and each text's number of ids. A null text is empty."""
         tail = np.array([] if end is None else [end], np.uint32)
         if not len(texts):
             return tail[:0], np.zeros(0, np.int64)
-        column = pc.fill_null(pa.array(texts, pa.large_string()), "")
+        column = pc.fill_null(texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()), "")
         whole = pc.match_substring_regex(column, _WHOLE).to_numpy(zero_copy_only=False) if self.cuts else np.ones(len(texts), bool)
         if whole.any():
             parts: list = [None] * len(texts)
@@ -186,11 +187,11 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def slices(texts: list[str | None], most: int = 2_000_000):
+def slices(texts: list[str | None] | pa.Array, most: int = 2_000_000):
     """Ranges of texts with about `most` characters at most, one text at least, to bound what is held at once."""
     start = held = 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist() if isinstance(texts, pa.Array) else (len(t or "") for t in texts)
+    for i, n in enumerate(sizes):
         if i > start and held + n > most:
             yield start, i
             start, held = i, 0

@@ -235,3 +235,28 @@ def test_cut_keeps_good_and_catches_junk():
 
 def test_crc():
     assert tokens.crc(b"abc") == zlib.crc32(b"abc")
+
+
+def test_new_units_are_encoded_a_few_at_a_time():
+    import pyarrow as pa
+
+    from kinweave.llm import tokens
+
+    enc, most = tokens.Encoder(tokens.default_tokenizer()), []
+    texts = [" ".join(f"w{i}x{j}" for j in range(5000)) for i in range(10)] + [None, "é ☃ a"]
+    want = enc.encode(texts, 2)
+
+    class Counting:
+        def __init__(self, model):
+            self.model = model
+
+        def encode_batch_fast(self, given, **kw):
+            most.append(len(given))
+            return self.model.encode_batch_fast(given, **kw)
+
+    fresh = tokens.Encoder(tokens.default_tokenizer())
+    fresh.bare = Counting(fresh.bare)
+    ids, sizes = fresh.flat(pa.array(texts), 2)
+    assert ids.astype("<u4").tobytes() == b"".join(want) and sizes.tolist() == [len(x) // 4 for x in want]
+    assert max(most) <= 8
+    assert list(tokens.slices(pa.array(["ab", None, "cde", "f"]), 3)) == list(tokens.slices(["ab", None, "cde", "f"], 3)) == [(0, 2), (2, 3), (3, 4)]
