@@ -44,6 +44,8 @@ SLICE = 4_000_000
 SLOTS = 2048
 #: Size classes of escaped ids, and how many steps one table of their shares serves.
 CLASSES, TERM = 20, 64
+#: A lane's shares are padded to a power of two, for a search by halves.
+SHARES, _JUMPS = 32, (16, 8, 4, 2, 1)
 #: The coder's interval has 48 bits, is kept to 2^32 at least, and settles 16 bits at a time.
 LEAST, MASK = 1 << 32, (1 << 48) - 1
 #: 16-bit words that a block can take: 12 + 12 + 19 bits an id, and what truncation costs.
@@ -61,19 +63,19 @@ def _curves() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Lanes:
-    """The model and the coder of n blocks side by side."""
+    """The model and the coder of n blocks side by side. What the three orders have alike is held and learns as one array."""
 
     def __init__(self, n: int, data: list[bytes] | None = None):
         self.n, (self.stretch, self.squash, self.confidence) = n, _curves()
         zeros = lambda size, t=np.int32: np.zeros(size, t)
-        lane = np.arange(n, dtype=np.int32)
-        self.lane, self.slots, self.contexts = lane.astype(np.int64), lane * SLOTS, lane * 16
+        self.lane = lane = np.arange(n, dtype=np.int64)
+        self.slots, self.contexts = lane * SLOTS, np.arange(3 * n, dtype=np.int64).reshape(3, n) * 16
         self.table2, self.table1 = zeros(n * SLOTS), zeros(n * SLOTS)  # id << 3 | confidence
         self.id0, self.sure0 = zeros(n), zeros(n)
-        self.hits = [np.full(n * 16, 1024, np.int32) for _ in range(3)]
-        self.seconds = np.full(n * 16, 1024, np.int32)
-        self.weights = [np.full(n, 22_000, np.int32) for _ in range(3)]
+        self.hits, self.seconds = np.full(3 * n * 16, 1024, np.int32), np.full(n * 16, 1024, np.int32)
+        self.weights = np.full((3, n), 22_000, np.int32)
         self.counts = np.ones((n, CLASSES), np.int32)
+        self.shares = np.full((n, SHARES), 1 << 13, np.int64)
         self.last, self.before, self.steps = zeros(n), zeros(n), 0
         self.low, self.wide, self.spot = zeros(n, np.int64), np.full(n, MASK, np.int64), zeros(n, np.int64)
         self.decode = data is not None
@@ -84,84 +86,94 @@ class Lanes:
             self.words = np.frombuffer(b"".join(x.ljust(2 * self.width, b"\0") for x in data), "<u2")
             self.code = zeros(n, np.int64)
             for _ in range(3):
-                self.code = self.code << 16 | self.words[self.lane * self.width + self.spot]
+                self.code = self.code << 16 | self.words[lane * self.width + self.spot]
                 self.spot += 1
 
-    def settle(self, at: np.ndarray) -> None:
-        """Shifts out (or in) the words that are settled in the lanes `at`, until their intervals are wide enough."""
-        low, wide = self.low[at], self.wide[at]
-        move = ((low ^ low + wide) < LEAST) | (wide < LEAST)
-        at, low, wide = at[move], low[move], wide[move]
+    def settle(self, k: int, at: np.ndarray | None = None) -> None:
+        """Shifts out (or in) the words that are settled in the first k lanes, or in the lanes `at`, until their intervals are wide
+        enough."""
+        low, wide = (self.low[:k], self.wide[:k]) if at is None else (self.low.take(at), self.wide.take(at))
+        same = (low ^ low + wide) < LEAST
+        move = np.flatnonzero(same | (wide < LEAST))
+        at = move if at is None else at.take(move)
         while len(at):
-            same = (low ^ low + wide) < LEAST
+            low, wide, same = low.take(move), wide.take(move), same.take(move)
             wide = np.where(same, wide, -low & LEAST - 1) << 16
-            spot = at * self.width + np.minimum(self.spot[at], self.width - 1)  # a damaged block may run past its end
+            spot = self.spot.take(at)
+            word = at * self.width + np.minimum(spot, self.width - 1)  # a damaged block may run past its end
             if self.decode:
-                self.code[at] = (self.code[at] << 16 | self.words[spot]) & MASK
+                self.code[at] = (self.code.take(at) << 16 | self.words.take(word)) & MASK
             else:
-                self.words[spot] = low >> 32
-            self.spot[at] += 1
+                self.words[word] = low >> 32
+            self.spot[at] = spot + 1
             low = low << 16 & MASK
             self.low[at], self.wide[at] = low, wide
-            more = ((low ^ low + wide) < LEAST) | (wide < LEAST)
-            at, low, wide = at[more], low[more], wide[more]
+            same = (low ^ low + wide) < LEAST
+            move = np.flatnonzero(same | (wide < LEAST))
+            at = at.take(move)
 
-    def _value(self, at, bits) -> np.ndarray:
-        """The value below 1 << bits that lies in the interval. Both sides are below 2^53, so the quotient is exact."""
-        part = self.wide[at] >> bits
-        return np.minimum((((self.code[at] - self.low[at]) & MASK) / part).astype(np.int64), (1 << bits) - 1)
+    @staticmethod
+    def _value(code: np.ndarray, low: np.ndarray, part: np.ndarray, most) -> np.ndarray:
+        """The value up to `most` that lies in the interval cut to such parts. Both sides are below 2^53, so the quotient is exact."""
+        return np.minimum((((code - low) & MASK) / part).astype(np.int64), most)
 
     def step(self, k: int, ids: np.ndarray | None) -> np.ndarray:
         """Codes (or decodes, without ids) the next id of the first k lanes, and learns."""
         if self.steps % TERM == 0:
             self._terms()
         self.steps += 1
-        last, before, contexts = self.last[:k], self.before[:k], self.contexts[:k]
-        s2 = self.slots[:k] + ((last * 40503 + before * 30011 >> 3) & SLOTS - 1)
-        s1 = self.slots[:k] + ((last * 40503 >> 4) & SLOTS - 1)
+        last, before = self.last[:k], self.before[:k]
+        far = last * 40503
+        s1 = self.slots[:k] + (far >> 4 & SLOTS - 1)
+        s2 = self.slots[:k] + (far + before * 30011 >> 3 & SLOTS - 1)
         e2, e1 = self.table2.take(s2), self.table1.take(s1)
         i2, c2, i1, c1, i0, c0 = e2 >> 3, e2 & 7, e1 >> 3, e1 & 7, self.id0[:k], self.sure0[:k]
-        a = np.where(c2 > 0, i2, np.where(c1 > 0, i1, i0))
+        new2, new1 = c2 == 0, c1 == 0
+        a = np.where(new2, np.where(new1, i0, i1), i2)
         same1 = a == i1
         b = np.where(same1, i0, i1)
-        x2, x1, x0 = contexts + (2 * c2 + same1), contexts + (2 * c1 + same1), contexts + (2 * np.minimum(c0, 7) + (a == i0))
-        places = (x2, x1, x0)
-        q = [h.take(x) for h, x in zip(self.hits, places)]
-        t = [self.stretch.take(x) for x in q]
-        w = [x[:k] for x in self.weights]
-        dot = w[0] * t[0] + w[1] * t[1] + w[2] * t[2] >> 16
-        p = self.squash.take(np.minimum(np.maximum(dot, -2047), 2047) + 2047)
+        d2, d1 = c2 << 1, c1 << 1
+        inner = np.empty((3, k), np.int32)
+        np.add(d2, same1, out=inner[0])
+        np.add(d1, same1, out=inner[1])
+        np.add(np.minimum(c0, 7) << 1, a == i0, out=inner[2])
+        places = self.contexts[:, :k] + inner
+        x1 = places[1] - 16 * self.n
+        q = self.hits.take(places)
+        t = self.stretch.take(q)
+        w = self.weights[:, :k]
+        parts = w * t
+        dot = (parts[0] + parts[1] + parts[2] >> 16) + 2047
+        p = self.squash.take(dot, mode="clip")
         left = 4096 - p
         second = self.seconds.take(x1)
         pb = np.minimum(np.maximum(left * second >> 12, 1), left - 8)
-        pb[a == b] = 0
+        pb *= a != b
         wide = self.wide[:k] >> 12
         if ids is None:
-            v = np.minimum((((self.code[:k] - self.low[:k]) & MASK) / wide).astype(np.int64), 4095)
+            v = self._value(self.code[:k], self.low[:k], wide, 4095)
             missed = v >= p
             gone = v >= p + pb
+            out = np.where(missed, b, a)
         else:
             missed = ids != a
             gone = missed & (ids != b)
-        start = np.where(missed, p, 0) + np.where(gone, pb, 0)
-        size = np.where(missed, np.where(gone, left - pb, pb), p)
-        self.low[:k] += start * wide
-        self.wide[:k] = wide * size
-        out = np.where(missed, b, a) if ids is None else ids
+            out = ids
+        missed_, gone_ = missed.astype(np.int32), gone.astype(np.int32)
+        self.low[:k] += (p * missed_ + pb * gone_) * wide
+        self.wide[:k] = wide * (p + missed_ * (pb - p) + gone_ * (left - 2 * pb))
         out = self._escape(np.flatnonzero(gone), out, k)
-        hit = np.where(missed, 0, 4096).astype(np.int32)
-        error = hit - p
-        for weight, x in zip(w, t):
-            weight += x * error >> 8
-            np.minimum(np.maximum(weight, -131_072, out=weight), 131_072, out=weight)
-        for h, x, y in zip(self.hits, places, q):
-            h[x] = y + (hit - y >> 5)
-        self.seconds[x1] = np.where(missed, second + (np.where(gone, 0, 4096) - second >> 5), second)
-        self.table2[s2] = np.where(c2 == 0, out, i2) << 3 | self.confidence.take(2 * c2 + (i2 == out))
-        self.table1[s1] = np.where(c1 == 0, out, i1) << 3 | self.confidence.take(2 * c1 + (i1 == out))
+        hit = 1 - missed_ << 12
+        w += t * (hit - p) >> 8
+        np.minimum(np.maximum(w, -131_072, out=w), 131_072, out=w)
+        self.hits[places] = q + (hit - q >> 5)
+        self.seconds[x1] = second + missed_ * ((1 - gone_ << 12) - second >> 5)
+        self.table2[s2] = np.where(new2, out, i2) << 3 | self.confidence.take(d2 + (i2 == out))
+        self.table1[s1] = np.where(new1, out, i1) << 3 | self.confidence.take(d1 + (i1 == out))
         right = i0 == out
-        self.id0[:k] = np.where(right | (c0 > 0), i0, out)
-        self.sure0[:k] = np.where(right, np.minimum(c0 + 1, 255), np.maximum(c0 - 1, 0))
+        kept = right | (c0 > 0)
+        self.sure0[:k] = np.minimum(np.maximum(c0 + (right.astype(np.int32) << 1) - 1, 0), 255)
+        self.id0[:k] = np.where(kept, i0, out)
         self.before[:k] = last
         self.last[:k] = out
         return out
@@ -169,35 +181,40 @@ class Lanes:
     def _terms(self) -> None:
         """Each lane's shares of the classes, of 4096 parts, one part a class at least."""
         ends = np.cumsum(self.counts, 1)
-        self.shares = np.zeros((self.n, CLASSES + 1), np.int64)
-        self.shares[:, 1:] = ends.astype(np.int64) * (4096 - CLASSES) // ends[:, -1:] + np.arange(1, CLASSES + 1)
+        self.shares[:, 0] = 0
+        self.shares[:, 1 : CLASSES + 1] = ends.astype(np.int64) * (4096 - CLASSES) // ends[:, -1:] + np.arange(1, CLASSES + 1)
         self.counts = np.where(ends[:, -1:] > 400, self.counts + 1 >> 1, self.counts)
 
     def _escape(self, at: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         """Size class of id + 1 under adaptive counts, then its other bits. Settles all lanes."""
         if not len(at):
-            self.settle(self.lane[:k])
+            self.settle(k)
             return ids
+        shares, row = self.shares.ravel(), at * SHARES
+        low, part = self.low.take(at), self.wide.take(at) >> 12
         if self.decode:
-            kind = (self.shares[at, 1:] <= self._value(at, 12)[:, None]).sum(1)
+            v = self._value(self.code.take(at), low, part, 4095)
+            spot = row
+            for jump in _JUMPS:  # the last share that is at most v
+                spot = spot + jump * (shares.take(spot + jump) <= v)
+            kind = spot - row
         else:
-            own = ids[at].astype(np.int64) + 1
-            kind = np.frexp(own.astype(np.float64))[1] - 1
-        part = self.wide[at] >> 12
-        low, high = self.shares[at, kind], self.shares[at, kind + 1]
-        self.low[at] += low * part
-        self.wide[at] = part * (high - low)
-        self.settle(self.lane[:k])
-        bits = kind.astype(np.int64)
-        rest = self._value(at, bits) if self.decode else own - (1 << bits)
-        part = self.wide[at] >> bits
-        self.low[at] += rest * part
+            own = ids.take(at).astype(np.int64) + 1
+            kind = (own.astype(np.float64).view(np.int64) >> 52) - 1023
+            spot = row + kind
+        start = shares.take(spot)
+        self.low[at] = low + start * part
+        self.wide[at] = part * (shares.take(spot + 1) - start)
+        self.settle(k)
+        low, part = self.low.take(at), self.wide.take(at) >> kind
+        rest = self._value(self.code.take(at), low, part, (1 << kind) - 1) if self.decode else own - (1 << kind)
+        self.low[at] = low + rest * part
         self.wide[at] = part
-        self.settle(at)
+        self.settle(k, at)
         if self.decode:
             ids = ids.copy()
-            ids[at] = (1 << bits) + rest - 1
-        self.counts[at, kind] += 8
+            ids[at] = (1 << kind) + rest - 1
+        self.counts.ravel()[at * CLASSES + kind] += 8
         return ids
 
 

@@ -20,6 +20,15 @@ def test_words_encode_as_the_library_does():
         assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts, 2)] == [p.ids + [2] for p in plain]
 
 
+def test_coded_bytes_are_those_of_earlier_files():
+    i = np.arange(40_000, dtype=np.int64)
+    ids = np.where(i % 11 < 4, i * i % 50_257, i % 7 * i % 97)
+    ids[::5_000] = (1 << 20) - 2
+    blocks = idfiles.compress(ids)
+    assert (idfiles.expand(blocks) == ids).all()
+    assert [len(blocks), zlib.crc32(b"".join(x for _, x in blocks))] == [20, 444567043]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, idfiles.BLOCK - 1, idfiles.BLOCK, idfiles.BLOCK + 1, 3 * idfiles.BLOCK + 7])
 def test_coder_round_trip(n):
     rng = np.random.default_rng(n)
