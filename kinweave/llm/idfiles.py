@@ -8,8 +8,9 @@ segments of whole documents, each bytes in this format (little-endian):
   u32 ids, u32 bytes, u32 crc32 of the ids, of each block,
   the blocks' coded bytes.
 
-A block holds BLOCK ids (the last one fewer) and its coder and model start anew, so blocks decode independently; LANES blocks at
-most are coded side by side, one numpy lane each, however long a document is. For each id, the orders 2, 1 and 0 (a table by the
+A block holds BLOCK ids (the last one fewer) and its coder and model start anew, so blocks decode independently, however long a
+document is. write() and read() code them one after another by IdCoder.java inside Spark's own tasks; pack_segment() and
+unpack_segment() do the same, to the byte, without a session, LANES blocks at most side by side, one numpy lane each. For each id, the orders 2, 1 and 0 (a table by the
 last two ids, one by the last id, and the block's prevailing id) each predict an id with a confidence. Their adaptive hit
 probabilities are mixed in the logistic domain, in integers, with weights that learn online; the mixed probability drives a range
 coder that codes a hit on the first candidate, a hit on the second, or an escape, which is followed by the id's size class under
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from kinweave.llm import javacode as java
 from kinweave.llm import workers
 from kinweave.llm.tokens import crc, default_tokenizer, encoder, slices
 
@@ -263,7 +265,7 @@ def pack_segment(docs: list[tuple[int | None, int]], ids: np.ndarray) -> bytes:
     """docs: (doc_id, its number of ids), of ids in that order."""
     data = ids.astype("<u4").tobytes()
     blocks = compress(ids)
-    names = np.array([(d or 0, d is None) for d, _ in docs], _NAME).tobytes() + np.array([n for _, n in docs], "<u4").tobytes()
+    names = _names([d for d, _ in docs], np.array([n for _, n in docs]))
     heads = np.array([(n, len(x), crc(data[4 * BLOCK * i : 4 * BLOCK * i + 4 * n])) for i, (n, x) in enumerate(blocks)], "<u4").tobytes()
     head = struct.pack("<4I", len(docs), len(ids), len(blocks), crc(data))
     return b"".join([b"KWT2", head, struct.pack("<I", crc(head + names + heads)), names, heads, *[x for _, x in blocks]])
@@ -272,6 +274,10 @@ def pack_segment(docs: list[tuple[int | None, int]], ids: np.ndarray) -> bytes:
 _NAME = np.dtype([("doc_id", "<i8"), ("none", "u1")])
 
 
+def _names(ids: list[int | None], sizes: np.ndarray) -> bytes:
+    return np.array([(d or 0, d is None) for d in ids], _NAME).tobytes() + sizes.astype("<u4").tobytes()
+
+
 def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, bytes]:
     """doc_ids, each one's number of ids, and all ids (u32 each); raises where a checksum differs."""
     if data[:4] != b"KWT2" or len(data) < 24:
@@ -298,8 +304,17 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, bytes]:
     return [None if none else d for d, none in names.tolist()], sizes, ids
 
 
+def _register(spark: SparkSession) -> None:
+    """Makes the functions that code and decode whole segments, as pack_segment and unpack_segment do, known to the session."""
+    told = {"BLOCK": BLOCK, "SLOTS": SLOTS, "CLASSES": CLASSES, "TERM": TERM, "MOST": MOST, "CHUNK_DOCS": 8192, "CHUNK_IDS": 1 << 18}
+    told |= {name: " ".join(map(str, x.tolist())) for name, x in zip(("STRETCH", "SQUASH", "CONFIDENCE"), _curves())}
+    rows = "array<struct<place: bigint, doc_id: bigint, ids: binary>>"
+    java.register(spark, "IdCoder.java", told, {"kinweave_pack": ("kinweave.IdCoder$Pack", "binary"), "kinweave_unpack": ("kinweave.IdCoder$Unpack", "array<binary>"), "kinweave_documents": ("kinweave.IdCoder$Documents", rows)})
+
+
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2, *, id_col: str = "doc_id", text_col: str = "text") -> None:
     tokenizer = tokenizer or default_tokenizer()
+    _register(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, number = encoder(tokenizer), TaskContext.get().partitionId(), 0
@@ -309,11 +324,11 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         count = 0
 
         def row() -> pa.RecordBatch:
-            data = pack_segment(list(zip(names, np.concatenate(sizes).tolist())), np.concatenate(held))
-            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([number], pa.int64()), pa.array([data], pa.binary())], ["part", "segment", "data"])
+            data = [_names(names, np.concatenate(sizes)), np.concatenate(held).astype("<u4").tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([number], pa.int64()), *[pa.array([x], pa.binary()) for x in data]], ["part", "segment", "docs", "ids"])
 
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            ids, texts = b.column(0).to_pylist(), b.column(1)
             for lo, hi in slices(texts, SLICE):
                 flat, n = enc.flat(texts[lo:hi], end_id)
                 ends, at = np.cumsum(n), 0
@@ -332,25 +347,14 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
             yield row()
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    own.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(workers.tidy(run), "part long, segment long, data binary").write.mode("overwrite").parquet(path)
+    own.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(workers.tidy(run), "part long, segment long, docs binary, ids binary").select("part", "segment", F.call_function("kinweave_pack", "docs", "ids").alias("data")).write.mode("overwrite").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """part, segment, place, doc_id, ids (binary, u32 each): every document as it is in the files."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for part, segment, data in zip(*(b.column(i).to_pylist() for i in range(3))):
-                names, sizes, ids = unpack_segment(data)
-                n, ends = len(names), np.cumsum(sizes)
-                for lo in range(0, n, 8192):  # a batch holds so many documents at most
-                    hi = min(n, lo + 8192)
-                    cuts = [0, *(4 * ends[lo:hi] - 4 * (ends[lo] - sizes[lo])).tolist()]
-                    own = ids[4 * int(ends[lo] - sizes[lo]) : 4 * int(ends[hi - 1])]
-                    texts = pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(np.array(cuts, np.int64).tobytes()), pa.py_buffer(own)]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array([part] * (hi - lo), pa.int64()), pa.array([segment] * (hi - lo), pa.int64()), pa.array(range(lo, hi), pa.int64()), pa.array(names[lo:hi], pa.int64()), texts], ["part", "segment", "place", "doc_id", "ids"])
-
-    return spark.read.parquet(path).select("part", "segment", "data").mapInArrow(workers.tidy(run), "part long, segment long, place long, doc_id long, ids binary")
+    """part, segment, place, doc_id, ids (binary, u32 each): every document as it is in the files. Chunks bound what is held at once."""
+    _register(spark)
+    chunks = spark.read.parquet(path).select("part", "segment", F.explode(F.call_function("kinweave_unpack", "data")).alias("chunk"))
+    return chunks.select("part", "segment", F.inline(F.call_function("kinweave_documents", "chunk")))
 
 
 def described(read_back: DataFrame, keep) -> DataFrame:

@@ -54,7 +54,10 @@ def ragged(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.
     """The pool's runs one after another, and where each of them ends."""
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
-    return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)], ends
+    kind = np.int32 if max(total, len(pool)) < 1 << 31 else np.int64
+    at = np.repeat((starts - (ends - sizes)).astype(kind), sizes)
+    at += np.arange(total, dtype=kind)
+    return pool.take(at), ends
 
 
 class Encoder:
@@ -68,10 +71,10 @@ class Encoder:
         pre = told.get("pre_tokenizer") or {}
         self.cuts = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not told.get("normalizer") and len(self.tokenizer.encode("\n", add_special_tokens=False).ids) == 1
         if self.cuts:
-            # the same model over signs of bytes, one piece a line; no text has the byte 255, which parts pieces
+            # the same model over signs of bytes, one piece a line; no plain unit has the byte 0, which parts pieces
             self.bare = Tokenizer.from_file(path)
             self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
-            self.signs = _byte_signs()[:255] + "\n"
+            self.signs = "\n" + _byte_signs()[1:]
             size = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
             for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
                 size[i] = len(token)  # one character stands for one byte
@@ -94,19 +97,24 @@ class Encoder:
     def _learn(self, new: list[str]) -> None:
         """Encodes new units together; the bytes that each id stands for tell where a unit ends."""
         plain, other = [], []
-        for i, w in enumerate(new):
-            (plain if _PLAIN.fullmatch(w) else other).append(i)
+        for i in range(0, len(new), TOGETHER):
+            some = new[i : i + TOGETHER]
+            if all(some) and _PLAIN.fullmatch("".join(some)):
+                plain += range(i, i + len(some))
+            else:
+                for k, w in enumerate(some, i):
+                    (plain if _PLAIN.fullmatch(w) else other).append(k)
         ids, sizes = [], []
         for rows, model in ((plain, self.bare), (other, self.tokenizer)):
             groups = [rows[i : i + TOGETHER] for i in range(0, len(rows), TOGETHER)]
             units = [[new[i] if new[i][0] == "\n" else " " + new[i] for i in g] for g in groups]
             joined = ["".join(u) for u in units]
             if model is self.bare:
-                joined = [b"\xff".join([x.encode() for x in _PIECES.findall(j)]).decode("latin1").translate(self.signs) for j in joined]
+                joined = ["\0".join(_PIECES.findall(j)).encode().decode("latin1").translate(self.signs) for j in joined]
             # a few at a time: the library's own results are many times the ids
             for u, e in zip(units, (e for i in range(0, len(joined), 8) for e in model.encode_batch_fast(joined[i : i + 8], add_special_tokens=False))):
                 own = np.array(e.ids, np.uint32)
-                ends = np.cumsum([len(x.encode()) for x in u])
+                ends = np.cumsum(pc.binary_length(pa.array(u, pa.large_string())).to_numpy())
                 cuts = np.searchsorted(np.cumsum(self.size[own]), ends) + 1
                 ids.append(own)
                 sizes.append(np.diff(cuts, prepend=0))
@@ -155,7 +163,7 @@ class Encoder:
             self._forget()
         self.turn += 1
         coded = units.dictionary_encode()
-        names, known = coded.dictionary.to_pylist(), self.known
+        names, known = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
         at = np.fromiter(map(known.get, names, repeat(-1)), np.int64, len(names))
         if len(new := np.flatnonzero(at < 0)):
             at[new] = np.arange(len(known), len(known) + len(new))

@@ -1,6 +1,7 @@
 """Operators over small tables with nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
 import re
+import time
 import zlib
 from base64 import b32encode
 from collections import Counter
@@ -404,3 +405,60 @@ def test_whole_pipeline_with_odd_rows(spark, tmp_path):
 
     kept = jaccard.one_of_each(q.keep_good(spark.createDataFrame([(i, t, "en", s, 0, "r", "c", 1) for i, t, s in rows], schema), None))
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([*range(30), 40])
+
+
+def test_files_are_coded_in_the_session_with_the_same_bytes(spark):
+    idfiles._register(spark)
+    rng, n = np.random.default_rng(5), 3 * idfiles.BLOCK
+    kinds = [rng.integers(0, (1 << 20) - 1, n + 1), rng.zipf(1.3, n - 1) % 50257, np.full(n, (1 << 20) - 2), np.tile([5, 6, 7], n), np.zeros(1), np.zeros(0)]
+    for ids in (x.astype("<u4") for x in kinds):
+        names, sizes = [7, None, -1], np.array([len(ids) // 3, 0, len(ids) - len(ids) // 3])
+        plain = idfiles.pack_segment(list(zip(names, sizes.tolist())), ids)
+        df = spark.createDataFrame([(bytearray(idfiles._names(names, sizes)), bytearray(ids.tobytes()))], "docs binary, ids binary")
+        assert bytes(df.select(F.call_function("kinweave_pack", "docs", "ids")).first()[0]) == plain
+        ends = [0, *np.cumsum(4 * sizes).tolist()]
+        assert _unpacked(spark, plain) == [(i, names[i], ids.tobytes()[ends[i] : ends[i + 1]]) for i in range(3)]
+    with pytest.raises(Exception, match="not below 2"):
+        bad = spark.createDataFrame([(bytearray(), bytearray(np.array([(1 << 20) - 1], "<u4").tobytes()))], "docs binary, ids binary")
+        bad.select(F.call_function("kinweave_pack", "docs", "ids")).collect()
+
+
+def _unpacked(spark, *segments):
+    df = spark.createDataFrame([(bytearray(x),) for x in segments], "data binary").coalesce(1)
+    rows = df.select(F.explode(F.call_function("kinweave_unpack", "data")).alias("chunk")).select(F.inline(F.call_function("kinweave_documents", "chunk"))).collect()
+    return [(r["place"], r["doc_id"], bytes(r["ids"])) for r in rows]
+
+
+def test_the_session_finds_damage_and_cuts_segments_into_chunks(spark):
+    idfiles._register(spark)
+    rng = np.random.default_rng(6)
+    sizes = np.r_[np.ones(20_000, np.int64), 300_000, 0, 5]
+    ids = (rng.zipf(1.3, sizes.sum()) % 50257).astype("<u4")
+    data = idfiles.pack_segment(list(enumerate(sizes.tolist())), ids)
+    back = _unpacked(spark, data)
+    assert [x[:2] for x in back] == [(i, i) for i in range(len(sizes))] and [len(x[2]) // 4 for x in back] == sizes.tolist()
+    assert b"".join(x[2] for x in back) == ids.tobytes()
+    small = idfiles.pack_segment([(7, 3), (None, 0), (-1, 3000)], np.r_[np.arange(3), np.full(3000, 9)].astype("<u4"))
+    for at in (0, 4, 21, 30, 50, 62, 24 + 13 * 3 + 12 * 2 + 1):
+        bad = bytearray(small)
+        bad[at] ^= 1 << at % 8
+        with pytest.raises(Exception, match="damaged|not a segment|another length"):
+            _unpacked(spark, bad)
+    with pytest.raises(Exception, match="damaged|another length"):
+        _unpacked(spark, small[:-1])
+
+
+def test_files_take_few_seconds_an_id(spark):
+    """Numpy lanes, one call a step, took over twice the budget of op3."""
+    idfiles._register(spark)
+    ids = (np.random.default_rng(7).zipf(1.3, 1_000_000) % 50257).astype("<u4")
+    began = time.perf_counter()
+    data = idfiles.pack_segment([(1, len(ids))], ids)
+    lanes = time.perf_counter() - began
+    df = spark.createDataFrame([(bytearray(idfiles._names([1], np.array([len(ids)]))), bytearray(ids.tobytes()))], "docs binary, ids binary").localCheckpoint()
+    took = []
+    for _ in range(3):
+        began = time.perf_counter()
+        assert bytes(df.select(F.call_function("kinweave_pack", "docs", "ids")).first()[0]) == data
+        took.append(time.perf_counter() - began)
+    assert min(took) < lanes / 2
