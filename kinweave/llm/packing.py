@@ -29,6 +29,8 @@ from kinweave.llm.tokens import crc, default_tokenizer, encoder, slices
 
 PART = 50_000
 SLICE = 1_000_000
+#: Words that a worker keeps: fewer than tokens.KEPT_WORDS, since the pipeline's other stages leave executors little room.
+KEPT = 500_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -88,7 +90,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, KEPT)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)  # texts stay as they came
             out: list[list] = [[], [], [], [], []]

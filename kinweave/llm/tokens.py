@@ -129,6 +129,7 @@ class Encoder:
         order = np.argsort(-self.used, kind="stable")[: self.kept // 2]
         order.sort()
         names = list(self.known)
+        self.known.clear()  # else both tables are held at once
         self.known = {names[i]: k for k, i in enumerate(order.tolist())}
         self.sizes, self.used = self.sizes[order], self.used[order]
         self.pool, ends = ragged(self.pool, self.starts[order], self.sizes)
@@ -187,11 +188,12 @@ class Encoder:
         return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def encoder(path: str) -> Encoder:
-    """One per worker and file."""
+def encoder(path: str, kept: int = KEPT_WORDS) -> Encoder:
+    """One per worker and file, which keeps as many units from now on."""
     workers.serve("tokens")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].kept = kept
     return _ENCODERS[path]
 
 

@@ -269,3 +269,17 @@ def test_new_units_are_encoded_a_few_at_a_time():
     assert ids.astype("<u4").tobytes() == b"".join(want) and sizes.tolist() == [len(x) // 4 for x in want]
     assert max(most) <= 8
     assert list(tokens.slices(pa.array(["ab", None, "cde", "f"]), 3)) == list(tokens.slices(["ab", None, "cde", "f"], 3)) == [(0, 2), (2, 3), (3, 4)]
+
+
+def test_operators_keep_as_many_words_as_they_say():
+    path = tokens.default_tokenizer()
+    texts = [" ".join(f"w{i}x{j}" for i in range(40)) for j in range(20)]
+    plain = tokens.encoder(path).tokenizer.encode_batch(texts, add_special_tokens=False)
+    e = tokens.encoder(path, 50)
+    try:
+        for _ in range(2):
+            for t, p in zip(texts, plain):
+                assert np.frombuffer(e.encode([t])[0], "<u4").tolist() == p.ids
+                assert len(e.known) <= 50 + 2 * 41  # a call's new words come on top
+    finally:
+        assert tokens.encoder(path) is e and e.kept == tokens.KEPT_WORDS
